@@ -1,0 +1,62 @@
+"""Joining events to a per-key table when a few keys own a large share of the events."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# At most HOT_LIMIT keys are called hot, so the hot list has a fixed size bound.
+HOT_SHARE = 0.01
+HOT_LIMIT = 100
+_TRACKED = 10_000
+_HOT, _SALT = "_hot", "_salt"
+
+
+def heavy_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys that hold more than ``HOT_SHARE`` of the rows: column ``key``, at most 100 rows.
+
+    One pass over the key column with a mergeable sketch and no shuffle by key. The sketch only
+    picks which keys to spread; results of the join do not depend on it.
+    """
+    counted = df.filter(F.col(key).isNotNull()).agg(
+        F.expr(f"approx_top_k({key}, {HOT_LIMIT}, {_TRACKED})").alias("top"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    return (
+        counted.select(F.explode("top").alias("t"), "n")
+        .filter(F.col("t.count") > F.col("n") * HOT_SHARE)
+        .select(F.col("t.item").alias(key))
+    )
+
+
+def skewed_left_join(
+    events: DataFrame,
+    table: DataFrame,
+    key: str,
+    spread_by: Sequence[str | Column],
+    key_source: DataFrame | None = None,
+    fan_out: int | None = None,
+) -> DataFrame:
+    """``events LEFT JOIN table USING (key)``, with hot keys spread over many tasks.
+
+    Rows of a hot key get a salt from ``spread_by``; the few table rows of that key are repeated
+    once per salt. Null keys, which match nothing, are salted as well. All other rows join on the
+    plain key. If Spark finds ``table`` small enough it still broadcasts it.
+    """
+    spark = events.sparkSession
+    fan_out = fan_out or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(heavy_keys(key_source if key_source is not None else events, key)
+                      .withColumn(_HOT, F.lit(True)))
+    spread = F.pmod(F.xxhash64(*spread_by), F.lit(fan_out)).cast("int")
+    salted = events.join(hot, key, "left").withColumn(
+        _SALT, F.when(F.col(_HOT) | F.col(key).isNull(), spread).otherwise(F.lit(0))
+    )
+    every_salt = F.sequence(F.lit(0), F.lit(fan_out - 1))
+    repeated = table.join(hot, key, "left").withColumn(
+        _SALT, F.explode(F.when(F.col(_HOT), every_salt).otherwise(F.array(F.lit(0))))
+    )
+    joined = salted.drop(_HOT).join(repeated.drop(_HOT), [key, _SALT], "left").drop(_SALT)
+    added = [c for c in table.columns if c != key]
+    return joined.select(*events.columns, *added)
