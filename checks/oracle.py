@@ -110,7 +110,7 @@ VIEWS["g_fatigue"] = f"""
            fatigue_score > 70 and training_load_today > 0 and recovery_score < 40 as overtraining_flag
     from (select *, case when score > 100 then cast(100 as double) when score < 0 then cast(0 as double) else score end as fatigue_score from raw_score)"""
 
-MUSCLES = """list_filter(list_transform(string_split(translate(muscle_groups, '[]''"', ''), ','), x -> trim(x)), x -> x <> '')"""
+MUSCLES = """list_filter(list_transform(string_split(translate(muscle_groups, '[]''"', ''), ','), lambda x: trim(x)), lambda x: x <> '')"""
 VIEWS["muscle_n"] = f"""
     select user_id, muscle_group, count(*) as session_count
     from (select user_id, unnest({MUSCLES}) as muscle_group from sv_workout) group by 1, 2"""

@@ -97,23 +97,29 @@ def dim_user(spark, sf_dir):
     return temporal.build_dim_user(silver_enriched(spark, sf_dir, "user_profile"))
 
 
-def star_tables(spark, sf_dir):
-    """Staged dimension and facts, and the marts on top."""
-    users = temporal.stage_dim_user(dim_user(spark, sf_dir))
-    fatigue = star.load_fact_fatigue(gold_fatigue(spark, sf_dir))
-    consistency = star.load_fact_consistency(
-        gold.workout_consistency(silver(spark, sf_dir, "workout_log"))
+def staged_users(spark, sf_dir):
+    return temporal.stage_dim_user(dim_user(spark, sf_dir))
+
+
+def fact_fatigue(spark, sf_dir):
+    return star.load_fact_fatigue(gold_fatigue(spark, sf_dir))
+
+
+def fact_consistency(spark, sf_dir):
+    return star.load_fact_consistency(gold.workout_consistency(silver(spark, sf_dir, "workout_log")))
+
+
+def fact_community(spark, sf_dir):
+    return star.load_fact_community(gold_community(spark, sf_dir))
+
+
+def stored_star(spark, sf_dir):
+    """Dimension, facts and marts as stored tables, for checks that read them many times."""
+    return star.run_star(
+        silver_enriched(spark, sf_dir, "user_profile"), gold_fatigue(spark, sf_dir),
+        gold.workout_consistency(silver(spark, sf_dir, "workout_log")),
+        gold_community(spark, sf_dir), workspace(spark, "star"),
     )
-    community = star.load_fact_community(gold_community(spark, sf_dir))
-    return {
-        "stg_dim_user": users,
-        "stg_fact_fatigue_recovery": fatigue,
-        "stg_fact_workout_consistency": consistency,
-        "stg_fact_community_analytics": community,
-        "mart_user_health_score": star.mart_user_health_score(fatigue, users),
-        "mart_coach_dashboard": star.mart_coach_dashboard(consistency, users),
-        "mart_community_analytics": star.mart_community_analytics(community),
-    }
 
 
 def rounded(df, *columns, digits=6):
@@ -301,7 +307,7 @@ def q_merge_metrics(spark, sf_dir):
 
 @query
 def q_fact_load(spark, sf_dir):
-    facts = star.load_fact_fatigue(gold_fatigue(spark, sf_dir))
+    facts = fact_fatigue(spark, sf_dir)
     return rounded(facts, "recovery_score", "stress_score", "hrv", "total_sleep_hours", "sleep_debt_hours")
 
 
@@ -470,10 +476,9 @@ def q_enrich_workout(spark, sf_dir):
 
 @query
 def q_stg_facts(spark, sf_dir):
-    fatigue = star.stage(star.load_fact_fatigue(gold_fatigue(spark, sf_dir)), "fact_fatigue_recovery")
-    consistency = star.stage(star.load_fact_consistency(gold.workout_consistency(
-        silver(spark, sf_dir, "workout_log"))), "fact_workout_consistency")
-    community = star.stage(star.load_fact_community(gold_community(spark, sf_dir)), "fact_community_analytics")
+    fatigue = star.stage(fact_fatigue(spark, sf_dir), "fact_fatigue_recovery")
+    consistency = star.stage(fact_consistency(spark, sf_dir), "fact_workout_consistency")
+    community = star.stage(fact_community(spark, sf_dir), "fact_community_analytics")
     return tables.read_many([
         fatigue.select(F.lit("fatigue").alias("fact"), "fact_id", "user_id", "event_date", "fatigue_score"),
         consistency.select(F.lit("consistency").alias("fact"), "fact_id", "user_id", "completion_rate_pct"),
@@ -586,7 +591,7 @@ def q_latest_profile(spark, sf_dir):
 
 @query
 def q_stg_dim_user(spark, sf_dir):
-    return temporal.stage_dim_user(dim_user(spark, sf_dir))
+    return staged_users(spark, sf_dir)
 
 
 @query
@@ -637,25 +642,25 @@ MART_ROUNDED = ("recovery_score", "stress_score", "hrv", "total_sleep_hours", "s
 
 @query
 def q_mart_health_score(spark, sf_dir):
-    return rounded(star_tables(spark, sf_dir)["mart_user_health_score"], *MART_ROUNDED)
+    marts = star.mart_user_health_score(fact_fatigue(spark, sf_dir), staged_users(spark, sf_dir))
+    return rounded(marts, *MART_ROUNDED)
 
 
 @query
 def q_mart_health_score_unmatched(spark, sf_dir):
-    users = temporal.stage_dim_user(dim_user(spark, sf_dir))
-    facts = star.load_fact_fatigue(gold_fatigue(spark, sf_dir))
-    return star.mart_user_health_score(facts, users, keep_unmatched=True).select(
-        "user_id", "event_date", "job_type", "fatigue_score", "risk_adjusted_fatigue_score")
+    marts = star.mart_user_health_score(
+        fact_fatigue(spark, sf_dir), staged_users(spark, sf_dir), keep_unmatched=True)
+    return marts.select("user_id", "event_date", "job_type", "fatigue_score", "risk_adjusted_fatigue_score")
 
 
 @query
 def q_mart_coach(spark, sf_dir):
-    return star_tables(spark, sf_dir)["mart_coach_dashboard"]
+    return star.mart_coach_dashboard(fact_consistency(spark, sf_dir), staged_users(spark, sf_dir))
 
 
 @query
 def q_mart_community(spark, sf_dir):
-    return star_tables(spark, sf_dir)["mart_community_analytics"]
+    return star.mart_community_analytics(fact_community(spark, sf_dir))
 
 
 @query
@@ -670,57 +675,58 @@ def q_reconcile(spark, sf_dir):
 
 @query
 def q_profile_scd2_ranges(spark, sf_dir):
-    facts = star.load_fact_fatigue(gold_fatigue(spark, sf_dir))
-    return audit.scd2_ranges(dim_user(spark, sf_dir), facts)
+    return audit.scd2_ranges(dim_user(spark, sf_dir), fact_fatigue(spark, sf_dir))
 
 
 # --- expectations -----------------------------------------------------------------------------
 
 @query
 def q_dq_not_null(spark, sf_dir):
-    return suite.not_null_checks(star_tables(spark, sf_dir))
+    return suite.not_null_checks(stored_star(spark, sf_dir))
 
 
 @query
 def q_dq_unique(spark, sf_dir):
-    return suite.unique_checks(star_tables(spark, sf_dir))
+    return suite.unique_checks(stored_star(spark, sf_dir))
 
 
 @query
 def q_dq_accepted_values(spark, sf_dir):
-    marts = star_tables(spark, sf_dir)["mart_community_analytics"]
+    marts = star.mart_community_analytics(fact_community(spark, sf_dir))
     return expectations.unaccepted_values(marts, "cohort_readiness_label", suite.LABELS[:1]).select(
         "job_type", "fitness_goal", "cohort_readiness_label")
 
 
 @query
 def q_dq_relationships(spark, sf_dir):
-    named = star_tables(spark, sf_dir)
+    users = dim_user(spark, sf_dir)
+    facts = {"stg_fact_fatigue_recovery": fact_fatigue(spark, sf_dir),
+             "stg_fact_workout_consistency": fact_consistency(spark, sf_dir)}
     return tables.read_many([
-        expectations.orphans(named[n], "user_id", named["stg_dim_user"], "user_id").select(
-            F.lit(n).alias("table_name"), "user_id", "fact_id")
-        for n in suite.USER_FACTS])
+        expectations.orphans(fact, "user_id", users, "user_id").select(
+            F.lit(name).alias("table_name"), "user_id", "fact_id")
+        for name, fact in facts.items()])
 
 
 @query
 def q_dq_completion_range(spark, sf_dir):
-    coach = star_tables(spark, sf_dir)["mart_coach_dashboard"]
+    totals = gold.workout_consistency(silver(spark, sf_dir, "workout_log"))
     return expectations.count_of(
-        expectations.outside_range(coach, "completion_rate_pct", 0, 100), "completion_rate_in_range")
+        expectations.outside_range(totals, "completion_rate_pct", 0, 100), "completion_rate_in_range")
 
 
 @query
 def q_dq_fatigue_nonneg(spark, sf_dir):
-    health = star_tables(spark, sf_dir)["mart_user_health_score"]
+    health = star.mart_user_health_score(fact_fatigue(spark, sf_dir), staged_users(spark, sf_dir))
     return expectations.count_of(
         expectations.outside_range(health, "fatigue_score", 0), "fatigue_score_non_negative")
 
 
 @query
 def q_dq_no_dropped_rows(spark, sf_dir):
-    named = star_tables(spark, sf_dir)
-    return expectations.differing_counts(
-        named["stg_fact_fatigue_recovery"], named["mart_user_health_score"], ("raw_fact_rows", "mart_rows"))
+    fatigue = fact_fatigue(spark, sf_dir)
+    health = star.mart_user_health_score(fatigue, staged_users(spark, sf_dir))
+    return expectations.differing_counts(fatigue, health, ("raw_fact_rows", "mart_rows"))
 
 
 @query
@@ -747,7 +753,7 @@ def q_dq_grain(spark, sf_dir):
 
 @query
 def q_dq_suite(spark, sf_dir):
-    return suite.run_suite(star_tables(spark, sf_dir))
+    return suite.run_suite(stored_star(spark, sf_dir))
 
 
 # --- whole runs -------------------------------------------------------------------------------

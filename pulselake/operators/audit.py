@@ -60,17 +60,17 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def scd2_ranges(dim_user: DataFrame, facts: DataFrame) -> DataFrame:
     """Validity and event date ranges in one row, to spot a dimension that misses its facts."""
-    users = dim_user.agg(
+    versions = dim_user.select("effective_date", "end_date", F.lit(True).alias("is_version"))
+    stacked = versions.unionByName(facts.select("event_date"), allowMissingColumns=True)
+    return stacked.agg(
         F.min("effective_date").alias("min_effective_date"),
         F.max("effective_date").alias("max_effective_date"),
         F.min("end_date").alias("min_end_date"),
         F.max("end_date").alias("max_end_date"),
-        F.count_if(F.col("end_date").isNull()).alias("null_end_date_count"),
+        F.count_if(F.col("is_version") & F.col("end_date").isNull()).alias("null_end_date_count"),
+        F.min("event_date").alias("min_event_date"),
+        F.max("event_date").alias("max_event_date"),
     )
-    days = facts.agg(
-        F.min("event_date").alias("min_event_date"), F.max("event_date").alias("max_event_date")
-    )
-    return users.crossJoin(days)  # one row each
 
 
 def score_stats(fatigue: DataFrame) -> DataFrame:

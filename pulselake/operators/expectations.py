@@ -43,18 +43,23 @@ def outside_range(df: DataFrame, column: str, low: float, high: float | None = N
     return df.filter(wrong | (F.col(column) > high) if high is not None else wrong)
 
 
+def counts_side_by_side(left: DataFrame, right: DataFrame, names: tuple[str, str]) -> DataFrame:
+    """Row counts of two tables in one row, from one aggregation over both."""
+    side = [t.select(F.lit(i).alias("side")) for i, t in enumerate((left, right))]
+    return side[0].union(side[1]).agg(
+        *[F.count_if(F.col("side") == i).alias(n) for i, n in enumerate(names)]
+    )
+
+
 def differing_counts(left: DataFrame, right: DataFrame, names: tuple[str, str]) -> DataFrame:
     """One row with both row counts if they differ, no row if they agree."""
-    a = left.agg(F.count(F.lit(1)).alias(names[0]))
-    b = right.agg(F.count(F.lit(1)).alias(names[1]))
-    return a.crossJoin(b).filter(F.col(names[0]) != F.col(names[1]))  # one row each
+    return counts_side_by_side(left, right, names).filter(F.col(names[0]) != F.col(names[1]))
 
 
 def grain(df: DataFrame, anchor: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Row count of a table next to the distinct keys of the table it is anchored on."""
-    rows = df.agg(F.count(F.lit(1)).alias("table_rows"))
-    expected = anchor.select(*keys).distinct().agg(F.count(F.lit(1)).alias("anchor_keys"))
-    return rows.crossJoin(expected).select(  # one row each
+    counts = counts_side_by_side(df, anchor.select(*keys).distinct(), ("table_rows", "anchor_keys"))
+    return counts.select(
         F.lit(name).alias("table_name"), "table_rows", "anchor_keys",
         (F.col("table_rows") == F.col("anchor_keys")).alias("passes"),
     )

@@ -45,7 +45,8 @@ def deduplicate_events(df: DataFrame, parsed_timestamp: Column) -> DataFrame:
     unusable = F.col("user_id").isNull() | F.col("_ts").isNull()
     keyed = df.withColumn("_ts", parsed_timestamp)
     own_key = F.when(unusable, F.struct(*df.columns))
-    return first_per_key(keyed, ["user_id", "_ts", own_key], total_order(df.columns)).drop("_ts")
+    order = total_order([c for c in df.columns if c != "user_id"])
+    return first_per_key(keyed, ["user_id", "_ts", own_key], order).drop("_ts")
 
 
 def latest_per_key(

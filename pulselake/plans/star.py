@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pulselake import schemas
 from pulselake.functions import scoring
 from pulselake.operators.keys import with_surrogate_key
-from pulselake.operators.temporal import point_in_time_join
+from pulselake.operators.temporal import build_dim_user, point_in_time_join, stage_dim_user
+from pulselake.sources.tables import store
 
 CURRENT_USER = ("gym_id", "gym_type", "fitness_goal", "job_type")
 
@@ -74,3 +75,29 @@ def mart_community_analytics(community: DataFrame) -> DataFrame:
         *schemas.STAR["fact_community_analytics"].names,
         scoring.readiness_label(F.col("avg_recovery_score")).alias("cohort_readiness_label"),
     )
+
+
+def run_star(
+    profiles: DataFrame, fatigue: DataFrame, consistency: DataFrame, community: DataFrame, root: str
+) -> dict[str, DataFrame]:
+    """Store the dimension, facts and marts under ``root``; staging stays a projection on top.
+
+    Takes the enriched Silver profiles and three Gold tables, and returns the staged tables and
+    the marts by name.
+    """
+    users = stage_dim_user(store(build_dim_user(profiles), root, "dim_user"))
+    fatigue = store(load_fact_fatigue(fatigue), root, "fact_fatigue_recovery")
+    consistency = store(load_fact_consistency(consistency), root, "fact_workout_consistency")
+    community = store(load_fact_community(community), root, "fact_community_analytics")
+    marts = {
+        "mart_user_health_score": mart_user_health_score(fatigue, users),
+        "mart_coach_dashboard": mart_coach_dashboard(consistency, users),
+        "mart_community_analytics": mart_community_analytics(community),
+    }
+    return {
+        "stg_dim_user": users,
+        "stg_fact_fatigue_recovery": stage(fatigue, "fact_fatigue_recovery"),
+        "stg_fact_workout_consistency": stage(consistency, "fact_workout_consistency"),
+        "stg_fact_community_analytics": stage(community, "fact_community_analytics"),
+        **{name: store(mart, root, name) for name, mart in marts.items()},
+    }

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,14 +15,17 @@ SILVER, QUARANTINE = "silver", "quarantine"
 ROWS_PER_FILE = 5_000_000
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists on the file system Spark uses for ``path``."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+
+
 def read_parquet_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table at ``path``, or an empty one of that schema where nothing was written yet."""
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def read_bronze(spark: SparkSession, root: str, record_type: str) -> DataFrame:
@@ -51,17 +53,12 @@ def read_quarantine(spark: SparkSession, root: str, record_type: str) -> DataFra
 
 def read_reference(spark: SparkSession, folder: str) -> dict[str, DataFrame | None]:
     """The reference CSVs under ``folder``; a missing file gives ``None``."""
-    tables: dict[str, DataFrame | None] = {}
-    for name, schema in schemas.REFERENCE.items():
-        try:
-            tables[name] = (
-                spark.read.schema(schema).option("header", True).csv(f"{folder}/{name}.csv")
-            )
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            tables[name] = None
-    return tables
+    reader = spark.read.option("header", True)
+    return {
+        name: reader.schema(schema).csv(f"{folder}/{name}.csv")
+        if path_exists(spark, f"{folder}/{name}.csv") else None
+        for name, schema in schemas.REFERENCE.items()
+    }
 
 
 def write_reference(table: DataFrame, folder: str, name: str) -> None:
@@ -126,6 +123,12 @@ def write_gold(table: DataFrame, root: str, name: str) -> int:
     return seen.get["rows"]
 
 
+def store(table: DataFrame, root: str, name: str) -> DataFrame:
+    """Write a table in full and read it back, so that later uses do not compute it again."""
+    write_gold(table, root, name)
+    return table.sparkSession.read.schema(table.schema).parquet(f"{root}/{name}")
+
+
 def append_new_rows(
     rows: DataFrame, path: str, keys: Sequence[str], partitions: Sequence[str] = ("date",),
     prune_by: str = "date",
@@ -150,9 +153,10 @@ def append_new_rows(
         for k in keys:
             same = same & F.col(k).eqNullSafe(F.col(f"_known_{k}"))
         fresh = rows.join(known, same, "left_anti")
-        fresh.observe(seen, F.count(F.lit(1)).alias("rows")).hint(
-            "rebalance", *partitions
-        ).write.mode("append").partitionBy(*partitions).parquet(path)
+        laid_out = fresh.hint("rebalance", *partitions)
+        laid_out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy(
+            *partitions
+        ).parquet(path)
     finally:
         rows.unpersist()
     return seen.get["rows"]
