@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from pulselake import schemas
 
+EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+
 # Exact copies of some events stand for delivery retries, changed copies with the same user and
 # time (id + 10,000,000) force the tiebreak.
 RETRY_EVERY, NEAR_EVERY, NEAR_SHIFT = 101, 103, 10_000_000
@@ -119,7 +123,7 @@ NOT_BASE64_EVERY, NOT_JSON_EVERY, NO_TYPE_EVERY, WRONG_KIND_EVERY = 97, 89, 83,
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:

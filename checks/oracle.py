@@ -425,7 +425,7 @@ ORACLE: dict[str, str] = {
         union all select 'gold_community_analytics', 'success', (select count(*) from g_community)
         union all select 'gold_user_profile_enriched', 'success', (select count(*) from last_profile)""",
     "q_stream_two_consumers": "select record_type, count(*) as n_archive, count(*) as n_alerts from bronze_types group by 1",
-    "q_stream_dedup": 'select distinct record_type, user_id, "timestamp" from fx_all where try_cast("timestamp" as timestamp) is not null',
+    "q_stream_dedup": 'select distinct record_type, user_id, "timestamp" from fx_all',
     "q_stream_silver": f"select record_type, user_id, {TS}, failure_reason from all_jd where record_type in ('sleep_log', 'user_profile')",
     "q_stream_progress": "select count(*) as rows_consumed, count(*) as rows_held from fx_all",
 }

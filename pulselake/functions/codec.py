@@ -35,24 +35,21 @@ def decode_records(messages: DataFrame, value: str = "value", encoding: str = "b
         f"{f.name} {f.dataType.simpleString()}" for f in layout
     ) + f", {_CORRUPT} string"
     opened = messages.withColumn("payload", payload_text(F.col(value), encoding)).drop(value)
-    parsed = opened.withColumn(
-        "_rec",
-        F.from_json(
-            "payload", parsed_ddl,
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
-        ),
+    record = F.from_json(
+        "payload", parsed_ddl, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     )
-    corrupt = F.col(f"_rec.{_CORRUPT}").isNotNull()
+    # inlined as one generated row: Spark would otherwise parse anew for every column and filter
+    kept = [c for c in opened.columns if c not in layout.names]
+    parsed = opened.select(*kept, F.inline(F.array(record)))
+    corrupt = F.col(_CORRUPT).isNotNull()
     reason = (
         F.when(F.col("payload").isNull(), "undecodable")
-        .when(F.col("_rec").isNull(), "invalid_json")
         .when(corrupt & F.json_object_keys("payload").isNull(), "invalid_json")
         .when(corrupt, "schema_mismatch")
     )
-    kept = [c for c in opened.columns if c not in layout.names]
     fields = [
-        F.coalesce(F.col("_rec.record_type"), F.lit("unknown")).alias("record_type")
-        if f.name == "record_type" else F.col(f"_rec.{f.name}").alias(f.name)
+        F.coalesce("record_type", F.lit("unknown")).alias("record_type")
+        if f.name == "record_type" else F.col(f.name)
         for f in layout
     ]
     return parsed.select(*kept, *fields, reason.alias("reject_reason"))

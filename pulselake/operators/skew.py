@@ -7,25 +7,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# At most HOT_LIMIT keys are called hot, so the hot list has a fixed size bound.
+# A key is hot above this share of the rows, so there are at most 100 hot keys. The sketch tracks
+# enough keys to keep its error, about 3.5 / 1024 of the rows, well below the share.
 HOT_SHARE = 0.01
 HOT_LIMIT = 100
-_TRACKED = 10_000
+_TRACKED = 1024
+_MERGERS = 512
 _HOT, _SALT = "_hot", "_salt"
 
 
 def heavy_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys that hold more than ``HOT_SHARE`` of the rows: column ``key``, at most 100 rows.
 
-    One pass over the key column with a mergeable sketch and no shuffle by key. The sketch only
-    picks which keys to spread; results of the join do not depend on it.
+    One pass over the key column with mergeable sketches and no shuffle by key. Sketches of map
+    tasks meet in ``_MERGERS`` groups before the last merge, so that merge has a fixed size
+    however many tasks there are. The sketch only picks which keys to spread; results of the join
+    do not depend on it.
     """
-    counted = df.filter(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k({key}, {HOT_LIMIT}, {_TRACKED})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
+    group = F.pmod(F.spark_partition_id(), F.lit(_MERGERS)).alias("part")
+    sketched = (
+        df.filter(F.col(key).isNotNull())
+        .select(key, group)
+        .groupBy("part")
+        .agg(
+            F.expr(f"approx_top_k_accumulate({key}, {_TRACKED})").alias("sketch"),
+            F.count(F.lit(1)).alias("n"),
+        )
     )
+    merged = sketched.agg(
+        F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch"),
+        F.sum("n").alias("n"),
+    )
+    top = F.expr(f"approx_top_k_estimate(sketch, {HOT_LIMIT})")
     return (
-        counted.select(F.explode("top").alias("t"), "n")
+        merged.filter("n > 0")
+        .select(F.explode(top).alias("t"), "n")
         .filter(F.col("t.count") > F.col("n") * HOT_SHARE)
         .select(F.col("t.item").alias(key))
     )

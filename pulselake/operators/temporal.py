@@ -11,7 +11,7 @@ from pulselake import schemas
 from pulselake.operators.keys import first_per_key, total_order, with_surrogate_key
 
 TRACKED = ("job_type", "fitness_goal", "medical_history")
-BUCKET = "hour"
+BUCKET = "minute"
 OPEN_START = "1900-01-01 00:00:00"
 OPEN_END = "9999-12-31 00:00:00"
 
@@ -28,7 +28,8 @@ def change_rows(
     ``lag`` and ``lead`` over a whole key would sort one busy key in a single task. Here each key
     is cut into time buckets: neighbours inside a bucket come from a window over (key, bucket),
     and only the last state and the first change of each bucket travel through the small window
-    over the key.
+    over the key. Events are unique per key and microsecond, so a bucket is bounded by its length
+    and the window over the key by the number of buckets in the history.
     """
     events = events.filter(F.col(key).isNotNull() & F.col(by).isNotNull())
     rest = [c for c in events.columns if c not in (key, by)]
@@ -36,9 +37,10 @@ def change_rows(
     inside = Window.partitionBy(key, "_bucket").orderBy(*order)
     across = Window.partitionBy(key).orderBy("_bucket")
 
+    # one exchange on (key, bucket) serves the window and the bucket summary alike
+    bucketed = events.withColumn("_bucket", F.date_trunc(bucket, by)).repartition(key, "_bucket")
     rows = (
-        events.withColumn("_bucket", F.date_trunc(bucket, by))
-        .withColumn("_state", F.struct(*tracked))
+        bucketed.withColumn("_state", F.struct(*tracked))
         .withColumns({
             "_prev": F.lag("_state").over(inside),
             "_opens": F.row_number().over(inside) == 1,
@@ -46,8 +48,7 @@ def change_rows(
     )
     # max_by over the same total order as the window: state at the end of each bucket
     last_state = (
-        events.withColumn("_bucket", F.date_trunc(bucket, by))
-        .groupBy(key, "_bucket")
+        bucketed.groupBy(key, "_bucket")
         .agg(F.max_by(F.struct(*tracked), F.struct(by, *rest)).alias("_state"))
         .select(key, "_bucket", F.lag("_state").over(across).alias("_carried"))
     )

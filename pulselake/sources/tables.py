@@ -81,8 +81,10 @@ def with_date(df: DataFrame) -> DataFrame:
 
 
 def write_bronze(records: DataFrame, root: str) -> None:
-    """Append decoded records, each row under the date of its own timestamp."""
-    records.write.mode("append").partitionBy(*BRONZE_PARTITIONS).parquet(root)
+    """Append a batch of decoded records, each row under the date of its own timestamp."""
+    records.hint("rebalance", *BRONZE_PARTITIONS).write.mode("append").option(
+        "maxRecordsPerFile", ROWS_PER_FILE
+    ).partitionBy(*BRONZE_PARTITIONS).parquet(root)
 
 
 def zoned(judged: DataFrame) -> DataFrame:

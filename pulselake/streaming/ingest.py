@@ -12,7 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pulselake import schemas
 from pulselake.functions.codec import decode_records
 from pulselake.functions.texts import date_parts
-from pulselake.sources.tables import BRONZE_PARTITIONS
+from pulselake.operators.keys import deduplicate
+from pulselake.sources.tables import BRONZE_PARTITIONS, append_new_rows
 
 REJECTED = "rejected"
 
@@ -109,24 +110,36 @@ def bronze_rows(messages: DataFrame, value: str = "value", encoding: str = "base
 def ingest_messages(
     messages: DataFrame, bronze: str, checkpoint: str, encoding: str = "base64"
 ) -> StreamingQuery:
-    """Decode and demultiplex a message stream into partitioned Bronze, drain and stop."""
+    """Decode and demultiplex a message stream into partitioned Bronze, drain and stop.
+
+    Live batches span a day or two, so each task writes few files without a shuffle. Load a long
+    history with ``bronze_rows`` and the batch writer, which lays it out by date.
+    """
     rows = bronze_rows(messages, encoding=encoding)
     return drain(append_stream(rows, bronze, checkpoint, BRONZE_PARTITIONS))
 
 
-def deduplicated_stream(
-    records: DataFrame, keys: Sequence[str] = ("user_id", "timestamp"), delay: str = "1 day"
-) -> DataFrame:
-    """Drop redelivered records while they are still in state.
+def append_unique(
+    stream: DataFrame, path: str, checkpoint: str,
+    keys: Sequence[str] = ("user_id", "timestamp"),
+) -> StreamingQuery:
+    """Drain an at-least-once stream into a table that holds each key once.
 
-    The watermark bounds the state: copies up to ``delay`` apart are absorbed here, later ones by
-    the idempotent Silver append. Records without a readable time carry no event time and are
-    left to quarantine.
+    Copies within a micro-batch are reduced map-side, copies of earlier batches by the idempotent
+    append. Nothing is kept in state, so no copy comes too late and no late row is lost; a batch
+    repeated after a failure adds nothing.
     """
-    timed = records.withColumn("event_time", F.col("timestamp").try_cast("timestamp")).filter(
-        F.col("event_time").isNotNull()
+
+    def on_batch(batch: DataFrame, _batch_id: int) -> None:
+        day = F.to_date(F.col("timestamp").try_cast("timestamp"))
+        append_new_rows(deduplicate(batch, keys).withColumn("date", day), path, keys)
+
+    return drain(
+        stream.writeStream.foreachBatch(on_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
-    return timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def progress(query: StreamingQuery) -> dict[str, int]:
