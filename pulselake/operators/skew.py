@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 # enough keys to keep its error, about 3.5 / 1024 of the rows, well below the share.
 HOT_SHARE = 0.01
 HOT_LIMIT = 100
+SALTS_PER_PARTITION = 4
 _TRACKED = 1024
 _MERGERS = 512
 _HOT, _SALT = "_hot", "_salt"
@@ -34,14 +35,13 @@ def heavy_keys(df: DataFrame, key: str) -> DataFrame:
             F.count(F.lit(1)).alias("n"),
         )
     )
-    merged = sketched.agg(
+    merged = sketched.groupBy(F.lit(True)).agg(  # grouped, so that no rows give no sketch
         F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch"),
         F.sum("n").alias("n"),
     )
     top = F.expr(f"approx_top_k_estimate(sketch, {HOT_LIMIT})")
     return (
-        merged.filter("n > 0")
-        .select(F.explode(top).alias("t"), "n")
+        merged.select(F.explode(top).alias("t"), "n")
         .filter(F.col("t.count") > F.col("n") * HOT_SHARE)
         .select(F.col("t.item").alias(key))
     )
@@ -62,7 +62,7 @@ def skewed_left_join(
     plain key. If Spark finds ``table`` small enough it still broadcasts it.
     """
     spark = events.sparkSession
-    fan_out = fan_out or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fan_out = fan_out or SALTS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     hot = F.broadcast(heavy_keys(key_source if key_source is not None else events, key)
                       .withColumn(_HOT, F.lit(True)))
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(fan_out)).cast("int")

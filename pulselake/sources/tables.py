@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,7 @@ from pulselake import schemas
 BRONZE_PARTITIONS = ("record_type", "year", "month", "day")
 SILVER, QUARANTINE = "silver", "quarantine"
 ROWS_PER_FILE = 5_000_000
+MAX_LISTED = 1000
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -93,6 +94,14 @@ def zoned(judged: DataFrame) -> DataFrame:
     return with_date(judged.drop("is_valid")).withColumn("zone", zone)
 
 
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Exactly the columns of ``schema``; one the table lacks, as after a missing reference, is null."""
+    return df.select(*[
+        F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in schema
+    ])
+
+
 def zone_counts() -> list:
     return [
         F.count_if(F.col("zone") == SILVER).alias("silver_rows"),
@@ -109,7 +118,7 @@ def write_judged(judged: DataFrame, root: str, record_type: str) -> dict[str, in
     """
     seen = Observation()
     rows = zoned(judged).observe(seen, *zone_counts())
-    laid_out = rows.select(*schemas.silver_schema(record_type).names).hint("rebalance", "zone", "date")
+    laid_out = conform(rows, schemas.silver_schema(record_type)).hint("rebalance", "zone", "date")
     laid_out.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(
         "zone", "date"
     ).parquet(f"{root}/{record_type}")
@@ -131,6 +140,16 @@ def store(table: DataFrame, root: str, name: str) -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(f"{root}/{name}")
 
 
+def touched_partitions(rows: DataFrame, column: str) -> Column | None:
+    """Filter on the values of ``column`` in ``rows``, or none if there are too many to list."""
+    found = rows.select(column).distinct().limit(MAX_LISTED + 1).collect()
+    if len(found) > MAX_LISTED:
+        return None
+    values = [r[0] for r in found if r[0] is not None]
+    wanted = F.col(column).isin(values)
+    return wanted | F.col(column).isNull() if len(values) < len(found) else wanted
+
+
 def append_new_rows(
     rows: DataFrame, path: str, keys: Sequence[str], partitions: Sequence[str] = ("date",),
     prune_by: str = "date",
@@ -138,25 +157,23 @@ def append_new_rows(
     """Append the rows whose key is not in the table yet; running it again appends nothing.
 
     ``rows`` must be unique on ``keys``, and a key must lie in one ``prune_by`` partition; keys
-    compare null-safe. Only table partitions that occur in ``rows`` are read: their distinct
-    values, at most one per calendar day, are the one broadcast here. ``rows`` is used twice and
-    therefore persisted.
+    compare null-safe. Of the table, only the partitions that occur in ``rows`` are read, or all
+    of them when ``rows`` spans more than ``MAX_LISTED``. ``rows`` is used twice and therefore
+    persisted.
     """
-    spark = rows.sparkSession
     seen = Observation()
     rows = rows.persist()
     try:
-        table = read_parquet_or_empty(spark, path, rows.schema)
-        touched = F.broadcast(rows.select(F.col(prune_by).alias("_touched")).distinct())
-        known = table.join(
-            touched, F.col(prune_by).eqNullSafe(F.col("_touched")), "left_semi"
-        ).select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+        table = read_parquet_or_empty(rows.sparkSession, path, rows.schema)
+        touched = touched_partitions(rows, prune_by)
+        if touched is not None:
+            table = table.filter(touched)
+        known = table.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
         same = F.lit(True)
         for k in keys:
             same = same & F.col(k).eqNullSafe(F.col(f"_known_{k}"))
-        fresh = rows.join(known, same, "left_anti")
-        laid_out = fresh.hint("rebalance", *partitions)
-        laid_out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy(
+        fresh = rows.join(known, same, "left_anti").hint("rebalance", *partitions)
+        fresh.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy(
             *partitions
         ).parquet(path)
     finally:

@@ -21,8 +21,8 @@ def append_judged(batch: DataFrame, root: str, record_type: str, refs: Reference
     A key that was judged before, as Silver or as quarantine, is a redelivery. Rows without a
     usable key are told apart by their whole content.
     """
-    columns = [c for c in schemas.silver_schema(record_type).names]
-    rows = tables.zoned(judge(batch, record_type, refs)).select(*columns)
+    judged = tables.zoned(judge(batch, record_type, refs))
+    rows = tables.conform(judged, schemas.silver_schema(record_type))
     unusable = F.col("user_id").isNull() | F.col("timestamp").isNull()
     content = F.to_json(F.struct(*[f.name for f in schemas.BRONZE[record_type]]))
     keyed = rows.withColumn(_OWN, F.when(unusable, content))
