@@ -616,7 +616,7 @@ def q_sample_dim(spark, sf_dir):
 def q_audit_union(spark, sf_dir):
     valid, bad = quality.split_silver_quarantine(judged(spark, sf_dir, "sleep_log"))
     users = fx.references(spark, sf_dir)
-    return tables.read_many([enrich.enrich_events(valid, users), bad]).select(
+    return tables.read_many([enrich.add_cohort(valid, users), bad]).select(
         "user_id", "timestamp", "total_sleep_hours", "failure_reason", "job_type", "fitness_goal", "gym_id")
 
 

@@ -8,6 +8,7 @@ a shuffle join with skew splitting beyond it.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,42 +16,58 @@ from pyspark.sql import functions as F
 from pulselake.operators.skew import skewed_left_join
 
 References = Mapping[str, "DataFrame | None"]
+
+
+class Lookup(NamedTuple):
+    """Columns to take from a reference table: row key, table key, and new name -> table column."""
+
+    table: str
+    key: str
+    table_key: str
+    take: Mapping[str, str]
+
+
+# What each record type gains. A type not listed gains the user's cohort columns.
+LOOKUPS: dict[str, tuple[Lookup, ...]] = {
+    "user_profile": (
+        Lookup("medical_conditions", "medical_history", "condition",
+               {"medical_risk_modifier": "risk_modifier"}),
+        Lookup("gym_master", "gym_id", "gym_id", {"gym_type": "gym_type"}),
+    ),
+    "workout_log": (
+        Lookup("workout_catalog", "workout_type", "workout_type",
+               {"met_value": "met_value", "recovery_days_needed": "recovery_days_needed"}),
+    ),
+}
+DEFAULTS = {"medical_risk_modifier": 1.0}
 COHORT_COLUMNS = ("job_type", "fitness_goal", "gym_id")
-DEFAULT_RISK = 1.0
-
-
-def enrich_profile(profiles: DataFrame, refs: References) -> DataFrame:
-    """Add ``medical_risk_modifier`` (1.0 where unknown) and ``gym_type``."""
-    conditions, gyms = refs.get("medical_conditions"), refs.get("gym_master")
-    out = profiles
-    if conditions is not None and "medical_history" in out.columns:
-        risk = conditions.select(
-            F.col("condition").alias("medical_history"),
-            F.col("risk_modifier").alias("medical_risk_modifier"),
-        )
-        out = out.join(risk, "medical_history", "left").fillna(
-            DEFAULT_RISK, ["medical_risk_modifier"]
-        )
-    else:
-        out = out.withColumn("medical_risk_modifier", F.lit(DEFAULT_RISK))
-    if gyms is not None and "gym_id" in out.columns:
-        out = out.join(gyms.select("gym_id", "gym_type"), "gym_id", "left")
-    return out
 
 
-def enrich_workout(workouts: DataFrame, refs: References) -> DataFrame:
-    """Add ``met_value`` and ``recovery_days_needed`` by workout type."""
-    catalog = refs.get("workout_catalog")
-    if catalog is None or "workout_type" not in workouts.columns:
-        return workouts
-    wanted = catalog.select("workout_type", "met_value", "recovery_days_needed")
-    return workouts.join(wanted, "workout_type", "left")
+def look_up(rows: DataFrame, lookup: Lookup, refs: References) -> DataFrame:
+    """Add the columns of one lookup; without the table or the key only defaults are added."""
+    table = refs.get(lookup.table)
+    if table is None or lookup.key not in rows.columns:
+        known = {n: F.lit(DEFAULTS[n]) for n in lookup.take if n in DEFAULTS}
+        return rows.withColumns(known) if known else rows
+    wanted = table.select(
+        F.col(lookup.table_key).alias(lookup.key), *[F.col(c).alias(n) for n, c in lookup.take.items()]
+    )
+    joined = rows.join(wanted, lookup.key, "left")
+    filled = [
+        F.coalesce(n, F.lit(DEFAULTS[n])).alias(n) if n in DEFAULTS else F.col(n) for n in lookup.take
+    ]
+    return joined.select(*rows.columns, *filled)
 
 
-def enrich_events(
+def add_cohort(
     events: DataFrame, refs: References, key_source: DataFrame | None = None
 ) -> DataFrame:
-    """Add each user's job, goal and gym, as far as the profile table has these columns."""
+    """Add each user's job, goal and gym, as far as the profile table has these columns.
+
+    The profile table grows with the number of users and a user may own a large share of the
+    events, so this is the skew-aware join. ``key_source`` is a cheaper table with the same hot
+    users to look for them in.
+    """
     users = refs.get("user_profiles")
     if users is None or "user_id" not in events.columns:
         return events
@@ -64,15 +81,14 @@ def enrich(
     rows: DataFrame, record_type: str, refs: References, key_source: DataFrame | None = None
 ) -> DataFrame:
     """Enrich one record type. Rows with a ``failure_reason`` get null enrichment columns."""
-    if record_type == "user_profile":
-        out = enrich_profile(rows, refs)
-    elif record_type == "workout_log":
-        out = enrich_workout(rows, refs)
+    out = rows
+    if record_type in LOOKUPS:
+        for lookup in LOOKUPS[record_type]:
+            out = look_up(out, lookup, refs)
     else:
-        out = enrich_events(rows, refs, key_source)
-    added = [c for c in out.columns if c not in rows.columns]
-    ordered = [*rows.columns, *added]
+        out = add_cohort(out, refs, key_source)
     if "failure_reason" not in rows.columns:
-        return out.select(*ordered)
+        return out
     valid = F.col("failure_reason").isNull()
+    added = [c for c in out.columns if c not in rows.columns]
     return out.select(*rows.columns, *[F.when(valid, F.col(c)).alias(c) for c in added])
