@@ -15,7 +15,7 @@ from pulselake.functions.numbers import round_half_up
 from pulselake.operators import audit, enrich, expectations, keys, quality, temporal, upsert
 from pulselake.operators.calendar import date_dimension
 from pulselake.plans import gold, runs, star, suite
-from pulselake.session import configure, workspace
+from pulselake.session import configure, side_by_side, workspace
 from pulselake.sources import tables
 from pulselake.streaming import ingest
 from pulselake.streaming.silver import silver_stream
@@ -206,8 +206,8 @@ def q_bronze_write(spark, sf_dir):
 def _written_zones(spark, sf_dir):
     root = workspace(spark, "silver")
     refs = fx.references(spark, sf_dir)
-    for t in schemas.RECORD_TYPES:
-        tables.write_judged(runs.judge(fx.bronze(spark, sf_dir, t), t, refs), root, t)
+    side_by_side(lambda t: tables.write_judged(
+        runs.judge(fx.bronze(spark, sf_dir, t), t, refs), root, t), schemas.RECORD_TYPES)
     return root
 
 
@@ -818,11 +818,14 @@ def q_stream_silver(spark, sf_dir):
     base = workspace(spark, "stream_silver")
     refs = fx.references(spark, sf_dir)
     types = ("sleep_log", "user_profile")
-    for drop in (FIRST_DROP, SECOND_DROP):
-        for t in types:
+
+    def deliver(t):
+        for drop in (FIRST_DROP, SECOND_DROP):
             record_drop(spark, sf_dir, t, drop).write.mode("append").parquet(f"{base}/bronze/{t}")
             silver_stream(ingest.file_stream(spark, f"{base}/bronze/{t}", schemas.BRONZE[t]),
                           f"{base}/silver", t, refs, f"{base}/memory/{t}")
+
+    side_by_side(deliver, types)
     wanted = ("record_type", "user_id", "timestamp", "failure_reason")
     return tables.read_many([
         read(spark, f"{base}/silver", t).select(*wanted)

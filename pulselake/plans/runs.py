@@ -11,6 +11,7 @@ from pulselake import schemas
 from pulselake.operators.enrich import References, enrich
 from pulselake.operators.quality import RULES, Rule, refine
 from pulselake.plans import gold
+from pulselake.session import side_by_side
 from pulselake.sources import tables
 
 log = logging.getLogger(__name__)
@@ -54,29 +55,31 @@ def run_silver(
     record_types: Sequence[str] = schemas.RECORD_TYPES,
 ) -> list[dict]:
     """Bronze to Silver for every type; a failing type is reported and does not stop the rest."""
-    summary = []
-    for record_type in record_types:
+
+    def run(record_type: str) -> dict:
         try:
-            summary.append(run_type(spark, bronze_root, silver_root, record_type, refs))
+            return run_type(spark, bronze_root, silver_root, record_type, refs)
         except Exception as error:
             log.exception("record type %s failed", record_type)
-            summary.append({"record_type": record_type, "status": "error", "error": str(error)})
-    return summary
+            return {"record_type": record_type, "status": "error", "error": str(error)}
+
+    return side_by_side(run, record_types)
 
 
 def run_gold(spark: SparkSession, silver_root: str, gold_root: str) -> list[dict]:
     """All Gold tables from Silver; a table whose inputs are missing is skipped."""
     silver = {t: tables.read_silver(spark, silver_root, t) for t in schemas.RECORD_TYPES}
     empty = {t for t, df in silver.items() if df.isEmpty()}
-    summary = []
-    for name, (build, inputs) in GOLD_INPUTS.items():
+
+    def run(name: str) -> dict:
+        build, inputs = GOLD_INPUTS[name]
         if empty & set(inputs):
-            summary.append({"table_name": name, "status": "skipped_missing_input"})
-            continue
+            return {"table_name": name, "status": "skipped_missing_input"}
         try:
             rows = tables.write_gold(build(*[silver[t] for t in inputs]), gold_root, name)
-            summary.append({"table_name": name, "status": "success", "n_rows": rows})
+            return {"table_name": name, "status": "success", "n_rows": rows}
         except Exception as error:
             log.exception("gold table %s failed", name)
-            summary.append({"table_name": name, "status": "error", "error": str(error)})
-    return summary
+            return {"table_name": name, "status": "error", "error": str(error)}
+
+    return side_by_side(run, GOLD_INPUTS)

@@ -9,6 +9,7 @@ from pulselake import schemas
 from pulselake.functions import scoring
 from pulselake.operators.keys import with_surrogate_key
 from pulselake.operators.temporal import build_dim_user, point_in_time_join, stage_dim_user
+from pulselake.session import side_by_side
 from pulselake.sources.tables import store
 
 CURRENT_USER = ("gym_id", "gym_type", "fitness_goal", "job_type")
@@ -77,6 +78,11 @@ def mart_community_analytics(community: DataFrame) -> DataFrame:
     )
 
 
+def _store_all(tables: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    stored = side_by_side(lambda name: store(tables[name], root, name), tables)
+    return dict(zip(tables, stored))
+
+
 def run_star(
     profiles: DataFrame, fatigue: DataFrame, consistency: DataFrame, community: DataFrame, root: str
 ) -> dict[str, DataFrame]:
@@ -85,19 +91,22 @@ def run_star(
     Takes the enriched Silver profiles and three Gold tables, and returns the staged tables and
     the marts by name.
     """
-    users = stage_dim_user(store(build_dim_user(profiles), root, "dim_user"))
-    fatigue = store(load_fact_fatigue(fatigue), root, "fact_fatigue_recovery")
-    consistency = store(load_fact_consistency(consistency), root, "fact_workout_consistency")
-    community = store(load_fact_community(community), root, "fact_community_analytics")
+    made = {
+        "dim_user": build_dim_user(profiles),
+        "fact_fatigue_recovery": load_fact_fatigue(fatigue),
+        "fact_workout_consistency": load_fact_consistency(consistency),
+        "fact_community_analytics": load_fact_community(community),
+    }
+    base = _store_all(made, root)
+    users = stage_dim_user(base["dim_user"])
+    facts = {n: stage(t, n) for n, t in base.items() if n != "dim_user"}
     marts = {
-        "mart_user_health_score": mart_user_health_score(fatigue, users),
-        "mart_coach_dashboard": mart_coach_dashboard(consistency, users),
-        "mart_community_analytics": mart_community_analytics(community),
+        "mart_user_health_score": mart_user_health_score(facts["fact_fatigue_recovery"], users),
+        "mart_coach_dashboard": mart_coach_dashboard(facts["fact_workout_consistency"], users),
+        "mart_community_analytics": mart_community_analytics(facts["fact_community_analytics"]),
     }
     return {
         "stg_dim_user": users,
-        "stg_fact_fatigue_recovery": stage(fatigue, "fact_fatigue_recovery"),
-        "stg_fact_workout_consistency": stage(consistency, "fact_workout_consistency"),
-        "stg_fact_community_analytics": stage(community, "fact_community_analytics"),
-        **{name: store(mart, root, name) for name, mart in marts.items()},
+        **{f"stg_{n}": t for n, t in facts.items()},
+        **_store_all(marts, root),
     }

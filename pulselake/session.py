@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -42,3 +44,10 @@ def workspace(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         shared = tempfile.gettempdir()
     return f"{shared.rstrip('/')}/pulselake/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def side_by_side(run: Callable, items: Iterable) -> list:
+    """Run a few independent Spark jobs at the same time, so the tail of one does not idle the cluster."""
+    items = list(items)
+    with ThreadPoolExecutor(max_workers=max(len(items), 1)) as pool:
+        return list(pool.map(run, items))
