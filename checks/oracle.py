@@ -366,6 +366,7 @@ ORACLE: dict[str, str] = {
         from (select * from g_fatigue order by fatigue_score desc nulls last, user_id, "date" limit 10)""",
     "q_sample_dim": """select user_id, cast(effective_date as varchar) as effective_date, cast(end_date as varchar) as end_date, is_current
         from (select * from dim_user order by user_id, effective_date limit 5)""",
+    "q_sample_fact": "select user_id, cast(event_date as varchar) as event_date from (select * from f_fatigue order by user_id, event_date limit 5)",
     "q_audit_union": f"""select user_id, {TS}, total_sleep_hours, failure_reason, job_type, fitness_goal, gym_id from en_sleep
         union all select user_id, {TS}, total_sleep_hours, failure_reason, null, null, null from jd_sleep where failure_reason is not null""",
     "q_user_bmi": f"""select *, case when bmi < 18.5 then 'underweight' when bmi < 25 then 'normal' when bmi < 30 then 'overweight'
@@ -399,7 +400,7 @@ ORACLE: dict[str, str] = {
     "q_dq_accepted_values": "select job_type, fitness_goal, cohort_readiness_label from m_community where cohort_readiness_label <> 'high_readiness'",
     "q_dq_relationships": "select * from orphan",
     "q_dq_completion_range": "select 'completion_rate_in_range' as check_name, count(*) as violations from m_coach where completion_rate_pct < 0 or completion_rate_pct > 100",
-    "q_dq_fatigue_nonneg": "select 'fatigue_score_non_negative' as check_name, count(*) as violations from m_health where fatigue_score < 0",
+    "q_dq_fatigue_nonneg": "select 'fatigue_score_non_negative' as check_name, count(*) as violations from m_health where fatigue_score < 0 or risk_adjusted_fatigue_score < 0",
     "q_dq_no_dropped_rows": """select * from (select (select count(*) from f_fatigue) as raw_fact_rows, (select count(*) from m_health) as mart_rows)
         where raw_fact_rows <> mart_rows""",
     "q_dq_conservation": """select record_type, silver_rows, quarantine_rows, rows_after, silver_rows + quarantine_rows = rows_after as conserved from (

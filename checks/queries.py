@@ -612,6 +612,12 @@ def q_sample_dim(spark, sf_dir):
     return sample.select("user_id", "effective_date", "end_date", "is_current")
 
 
+@query
+def q_sample_fact(spark, sf_dir):
+    sample = fact_fatigue(spark, sf_dir).orderBy("user_id", "event_date").limit(5)
+    return sample.select("user_id", "event_date")
+
+
 @query
 def q_audit_union(spark, sf_dir):
     valid, bad = quality.split_silver_quarantine(judged(spark, sf_dir, "sleep_log"))
@@ -656,7 +662,7 @@ def q_mart_health_score_unmatched(spark, sf_dir):
 
 @query
 def q_mart_coach(spark, sf_dir):
-    return star.mart_coach_dashboard(fact_consistency(spark, sf_dir), staged_users(spark, sf_dir))
+    return star.mart_coach_dashboard(fact_consistency(spark, sf_dir), dim_user(spark, sf_dir))
 
 
 @query
@@ -719,8 +725,7 @@ def q_dq_completion_range(spark, sf_dir):
 @query
 def q_dq_fatigue_nonneg(spark, sf_dir):
     health = star.mart_user_health_score(fact_fatigue(spark, sf_dir), staged_users(spark, sf_dir))
-    return expectations.count_of(
-        expectations.outside_range(health, "fatigue_score", 0), "fatigue_score_non_negative")
+    return expectations.count_of(suite.negative_scores(health), "fatigue_score_non_negative")
 
 
 @query

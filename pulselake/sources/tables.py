@@ -117,8 +117,9 @@ def write_judged(judged: DataFrame, root: str, record_type: str) -> dict[str, in
     rows into few files, yet cuts a date too large for one task into several.
     """
     seen = Observation()
-    rows = zoned(judged).observe(seen, *zone_counts())
-    laid_out = conform(rows, schemas.silver_schema(record_type)).hint("rebalance", "zone", "date")
+    rows = conform(zoned(judged), schemas.silver_schema(record_type))
+    # counted in the writing stage: tasks of an earlier stage may run again and count twice
+    laid_out = rows.hint("rebalance", "zone", "date").observe(seen, *zone_counts())
     laid_out.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(
         "zone", "date"
     ).parquet(f"{root}/{record_type}")
