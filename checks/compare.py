@@ -29,7 +29,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def cell(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 9) + 0.0
+        return None if math.isnan(value) else value + 0.0
     return value
 
 

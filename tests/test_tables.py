@@ -46,6 +46,8 @@ def test_rewriting_judged_rows_leaves_nothing_stale(spark, folder):
     counts = tables.write_judged(runs.judge(clean, "workout_log", {}), folder, "workout_log")
     assert counts == {"silver_rows": 2, "quarantine_rows": 0}
     assert tables.read_quarantine(spark, folder, "workout_log").count() == 0
+    nothing = runs.judge(clean.filter("rpe > 99"), "workout_log", {})
+    assert tables.write_judged(nothing, f"{folder}/empty", "workout_log") == {"silver_rows": 0, "quarantine_rows": 0}
     assert tables.read_silver(spark, folder, "workout_log").first().date == dt.date(2024, 1, 1)
 
 
