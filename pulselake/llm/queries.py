@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulselake.llm import token_output
+from pulselake.llm import decontaminate, simhash, token_output
 from pulselake.llm.common import table
 
 
@@ -20,8 +20,22 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.encode_table(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all whole texts that lie inside ten-word windows of benchmark items."""
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of all whole texts and their groups at two or fewer differing bits."""
+    return simhash.near_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_benchmark_decontamination": decontaminate.ORACLE,
+}
