@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulselake.llm import decontaminate, simhash, token_output
+from pulselake.llm import decontaminate, mixing, simhash, token_output
 from pulselake.llm.common import table
 
 
@@ -30,12 +30,19 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document when sources weigh 1, 2, 3, repeating, and repeat at most three times."""
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_mixing": op7_mixing,
 }
 
 ORACLE: dict[str, str] = {
     "op4_benchmark_decontamination": decontaminate.ORACLE,
+    "op7_mixing": mixing.ORACLE,
 }
