@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulselake.llm import decontaminate, mixing, simhash, token_output
+from pulselake.llm import decontaminate, mixing, simhash, token_output, toxicity
 from pulselake.llm.common import table
 
 
@@ -20,6 +20,11 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.encode_table(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text by its nearest labelled examples."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all whole texts that lie inside ten-word windows of benchmark items."""
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -37,6 +42,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_output": op1_token_output,
+    "op3_toxicity": op3_toxicity,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_mixing": op7_mixing,
