@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulselake.llm import decontaminate, mixing, simhash, token_output, toxicity
+from pulselake.llm import decontaminate, language, mixing, simhash, token_output, toxicity
 from pulselake.llm.common import table
 
 
@@ -30,6 +30,11 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text by cross-parsing entropy."""
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of all whole texts and their groups at two or fewer differing bits."""
     return simhash.near_copies(table(spark, sf_dir, "documents"))
@@ -44,6 +49,7 @@ QUERIES = {
     "op1_token_output": op1_token_output,
     "op3_toxicity": op3_toxicity,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_language_id": op5_language_id,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_mixing": op7_mixing,
 }
