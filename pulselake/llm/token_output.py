@@ -12,9 +12,11 @@ segments; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ from pulselake.session import workspace
 #: Documents encoded together, and ids after which a segment is closed.
 BATCH, SEGMENT_IDS = 256, 1 << 18
 #: Words whose ids a worker remembers; beyond it the memory starts anew. It never changes results.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 #: One row per segment: its writing task and its place among that task's ids, its documents, its words.
 SEGMENTS = "part int, place long, doc_ids array<long>, lengths array<long>, n_ids long, segment binary"
@@ -36,66 +38,79 @@ SEGMENTS = "part int, place long, doc_ids array<long>, lengths array<long>, n_id
 class Encoder:
     """Encodes texts word by word and remembers the ids of words, as little-endian 32-bit bytes.
 
-    The tokenizer splits at white space first, so a text's ids are those of its words in a row.
-    Texts with characters for which that need not hold go to the tokenizer whole.
+    Holds for a tokenizer that lower-cases, cuts at white space, and then cuts letters from other
+    signs; then a text's ids are those of its words in a row, and those of a word are its letters'
+    and its trailing punctuation's. Any other tokenizer, and texts with characters for which that
+    need not hold, are encoded whole.
     """
 
-    _whole = re.compile("[\x1c-\x1f]|<\\|")
-    _simple = re.compile(r"([^\W\d_]+)([.,]*)\Z")
+    _simple = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)\Z")
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        form = json.loads(self.tokenizer.to_str())
+        steps = [(form[k] or {}).get(many, [form[k]]) for k, many in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        self.by_word = [s and s["type"] for step in steps for s in step] == ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"]
+        suffix = form["model"].get("end_of_word_suffix") or ""
+        self.by_word &= bool(suffix)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
-        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        for token, ident in vocabulary.items():
-            self.ends[ident] = bool(suffix) and token.endswith(suffix)
-        self.by_word = bool(suffix)
+        self.ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        self.letters = Tokenizer(self.tokenizer.model)  # for lower-case letters in normal form between spaces
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         self.words: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _learn(self, missing: list[str]) -> None:
-        if len(self.words) + len(missing) > REMEMBERED:
-            self.words = {}
-        simple: dict[str, list[tuple[str, str]]] = {}
-        other = []
+    def _learn(self, missing: set[str]) -> None:
+        known = self.words
+        match, simple, other, stems = self._simple.match, [], [], set()
         for word in missing:
-            match = self._simple.match(word)
-            if match and "Σ" not in word and (stem := match[1].lower()).isalpha():
-                simple.setdefault(stem, []).append((word, match[2]))
+            if word.isalpha():
+                stem, tail = word.lower(), ""
+            elif found := match(word):
+                stem, tail = found[1].lower(), found[2]
             else:
                 other.append(word)
-        other += sorted({tail for found in simple.values() for _, tail in found if tail} - self.words.keys())
-        self.words.update(zip(other, self._encode(other), strict=True))
-        stems = list(simple)
+                continue
+            if not stem.isascii() and not (stem.isalpha() and "Σ" not in word and is_normalized("NFC", stem)):
+                other.append(word)
+                continue
+            if stem not in known:
+                stems.add(stem)
+            if stem != word:
+                simple.append((word, stem, tail))
+        other += {tail for _, _, tail in simple if tail} - known.keys()
+        known.update(zip(other, self._encode(other), strict=True))
+        stems = list(stems)
         for at in range(0, len(stems), 500):
             part = stems[at : at + 500]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.letters.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(part):  # a word that is not one piece: encode them one by one
-                pieces = self._encode(part)
-            else:
+            if len(cuts) == len(part):
                 raw, cuts = ids.tobytes(), [0, *(4 * cuts).tolist()]
-                pieces = [raw[a:b] for a, b in zip(cuts, cuts[1:])]
-            for stem, piece in zip(part, pieces, strict=True):
-                for word, tail in simple[stem]:
-                    self.words[word] = piece + self.words[tail] if tail else piece
+                known.update(zip(part, [raw[a:b] for a, b in zip(cuts, cuts[1:])], strict=True))
+            else:  # a word that is not one piece: encode them one by one
+                known.update(zip(part, self._encode(part), strict=True))
+        for word, stem, tail in simple:
+            known[word] = known[stem] + known[tail] if tail else known[stem]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes."""
         if not self.by_word:
             return self._encode(texts)
-        split = [None if self._whole.search(t) else t.split() for t in texts]
-        missing = set().union(*(s for s in split if s)).difference(self.words)
-        if missing:
-            self._learn(sorted(missing))
-            if gone := set().union(*(s for s in split if s)).difference(self.words):
-                self._learn(sorted(gone))  # the memory started anew meanwhile
+        split = [None if "<|" in t or any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
+        asked = set().union(*(s for s in split if s))
+        if missing := asked.difference(self.words):
+            if len(self.words) + len(missing) > REMEMBERED:
+                self.words, missing = {}, asked
+            self._learn(missing)
         get = self.words.__getitem__
         return [self._encode([t])[0] if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
 
