@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulselake.llm import decontaminate, language, main_text, mixing, quality, simhash, token_output, toxicity
+from pulselake.llm import decontaminate, language, main_text, mixing, ppm, quality, simhash, token_output, toxicity
 from pulselake.llm.common import table
 
 
@@ -45,6 +45,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every whole text under byte-level prediction by partial matching."""
+    return ppm.scores(table(spark, sf_dir, "documents"))
+
+
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every whole page by a recurrent labeller of its blocks."""
     return main_text.main_text(table(spark, sf_dir, "pages"))
@@ -62,6 +67,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_mixing": op7_mixing,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_main_text": op9_main_text,
     "op10_quality": op10_quality,
 }
