@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulselake.llm import decontaminate, language, main_text, mixing, ppm, quality, simhash, token_output, toxicity
+from pulselake.llm import decontaminate, embedding_dedup, language, main_text, mixing, ppm, quality, simhash, token_output, toxicity
 from pulselake.llm.common import table
 
 
@@ -20,6 +20,11 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.encode_table(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all vectors at a cosine of 0.95 or more."""
+    return embedding_dedup.near_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text by its nearest labelled examples."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -62,6 +67,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_output": op1_token_output,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_language_id": op5_language_id,
