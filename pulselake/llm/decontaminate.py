@@ -101,20 +101,24 @@ def report(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id", text: s
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows without any hit, all columns kept."""
-    dirty = marked(docs, benchmark, text, **options).where("size(hits) > 0").select(F.col("place").alias("__place"))
-    kept = docs.withColumn("__place", F.monotonically_increasing_id()).join(dirty, "__place", "left_anti")
-    return kept.drop("__place")
+    dirty = marked(docs, benchmark, text, **options).where("size(hits) > 0").select("place")
+    return _nested(docs).join(dirty, "place", "left_anti").select("row.*")
+
+
+def _nested(docs: DataFrame) -> DataFrame:
+    """Each row as one value, so that no column can clash, beside its ``place``."""
+    return docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("place"))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """All rows and columns; where a text has hits, its lower-cased words outside them, space-joined, replace it."""
-    dirty = marked(docs, benchmark, text, **options).where("size(hits) > 0").select(F.col("place").alias("__place"), F.col("hits").alias("__hits"))
-    joined = docs.withColumn("__place", F.monotonically_increasing_id()).join(dirty, "__place", "left")
-    inside = F.array_distinct(F.flatten(F.transform("__hits", lambda h: F.sequence(h["start"], h["start"] + h["size"] - 1))))
-    with_words = joined.withColumn("__words", F.when(F.col("__hits").isNotNull(), words(F.col(text)))).withColumn("__inside", inside)
-    rest = F.filter("__words", lambda w, i: ~F.array_contains("__inside", i + 1))
-    cleaned = F.when(F.col("__hits").isNotNull(), F.array_join(rest, " ")).otherwise(F.col(text))
-    return with_words.withColumn(text, cleaned).drop("__place", "__hits", "__words", "__inside")
+    dirty = marked(docs, benchmark, text, **options).where("size(hits) > 0").select("place", "hits")
+    joined = _nested(docs).join(dirty, "place", "left").withColumn("old", F.col("row")[text])
+    inside = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["start"], h["start"] + h["size"] - 1))))
+    split = joined.withColumns({"words": F.when(F.col("hits").isNotNull(), words(F.col("old"))), "inside": inside})
+    rest = F.filter("words", lambda w, i: ~F.array_contains("inside", i + 1))
+    cleaned = F.when(F.col("hits").isNotNull(), F.array_join(rest, " ")).otherwise(F.col("old"))
+    return split.select(F.col("row").withField(text, cleaned).alias("row")).select("row.*")
 
 
 ORACLE = rf"""

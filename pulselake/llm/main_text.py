@@ -325,8 +325,8 @@ def main_text(pages: DataFrame, ident: str = "page_id", page: str = "html", samp
         yield pd.DataFrame({"model": [pickle.dumps(learn(texts.tolist()))]})
 
     # The sample is bounded and trained on in one task, where numpy keeps to one core.
-    trained = found.coalesce(1).mapInPandas(train, "model binary").first()
-    model = pages.sparkSession.sparkContext.broadcast(pickle.loads(trained["model"]))
+    trained = found.coalesce(1).mapInPandas(train, "model binary").first()  # no task, no row, if there is no page
+    model = pages.sparkSession.sparkContext.broadcast(pickle.loads(trained["model"]) if trained else Labeller.fresh())
 
     @F.pandas_udf(StringType())
     def extracted(some: pd.Series) -> pd.Series:

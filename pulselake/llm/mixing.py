@@ -154,20 +154,23 @@ def counted(
     docs: DataFrame, members: Column, ident: str = "doc_id", text: str = "text", seed: int = SEED,
     weights: dict | None = None, bucket: int = BUCKET,
 ) -> tuple[DataFrame, dict, dict]:
-    """``docs`` with ``__size``, ``__pattern`` and ``__copies``, and the sizes and targets by source."""
+    """Each row as ``row`` with its ``size``, ``pattern`` and ``copies``, and the sizes and targets by source."""
     spark = importable(docs.sparkSession)
-    tagged = docs.withColumns({"__size": size_of(F.col(text)), "__pattern": _pattern(members), "__key": _key(F.col(ident), seed)})
-    rows = stored(tagged.select(F.col("__pattern").alias("pattern"), F.col("__key").alias("key"), F.col("__size").alias("size")), "sizes")
+    tagged = docs.select(  # rows as one value, so that no column can clash
+        F.struct("*").alias("row"), size_of(F.col(text)).alias("size"), _pattern(members).alias("pattern"),
+        _key(F.col(ident), seed).alias("key"),
+    )
+    rows = stored(tagged.select("pattern", "key", "size"), "sizes")
     totals = {r["pattern"]: r["n"] for r in rows.groupBy("pattern").agg(F.sum("size").alias("n")).collect()}
     names = {tuple(json.loads(p)): p for p in totals}
     sizes, targets, words = plan({k: totals[p] for k, p in names.items()}, weights)
     taken = {p: divmod(words[k], totals[p]) if totals[p] else (0, 0) for k, p in names.items()}
     if not taken:
-        return tagged.withColumn("__copies", F.lit(0).cast("long")).drop("__key"), sizes, targets
-    cuts = thresholds(rows, taken, bucket).select(F.col("pattern").alias("__pattern"), "copies", "cut", "closing")
-    again = (F.col("__key") <= F.col("cut")) | F.array_contains("closing", F.col("__key"))
-    out = tagged.join(F.broadcast(cuts), "__pattern").withColumn("__copies", F.col("copies") + again.cast("long"))
-    return out.drop("__key", "copies", "cut", "closing"), sizes, targets
+        return tagged.withColumn("copies", F.lit(0).cast("long")), sizes, targets
+    cuts = thresholds(rows, taken, bucket).select("pattern", "copies", "cut", "closing")
+    again = (F.col("key") <= F.col("cut")) | F.array_contains("closing", F.col("key"))
+    out = tagged.join(F.broadcast(cuts), "pattern")
+    return out.select("row", "size", "pattern", (F.col("copies") + again.cast("long")).alias("copies")), sizes, targets
 
 
 def mixture(docs: DataFrame, source: str = "source", **options) -> DataFrame:
@@ -175,11 +178,10 @@ def mixture(docs: DataFrame, source: str = "source", **options) -> DataFrame:
     docs = docs.select("doc_id", "text", F.col(source).alias("source"))
     out, sizes, targets = counted(docs, F.array(F.col("source").cast("string")), **options)
     per = [(json.dumps([s], ensure_ascii=False, separators=(",", ":")), n, targets[s]) for s, n in sizes.items()]
-    named = docs.sparkSession.createDataFrame(per, "__name string, source_size long, target double")
-    keyed = named.withColumn("__pattern", _pattern(F.from_json("__name", "array<string>")))
-    return out.join(F.broadcast(keyed), "__pattern").select(
-        "doc_id", F.col("__size").alias("size"), "source_size", "target",
-        (F.col("__size") * F.col("__copies")).alias("taken"),
+    named = docs.sparkSession.createDataFrame(per, "name string, source_size long, target double")
+    keyed = named.withColumn("pattern", _pattern(F.from_json("name", "array<string>")))
+    return out.join(F.broadcast(keyed), "pattern").select(  # one row per source
+        "row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
 
 
@@ -187,8 +189,7 @@ def mixed(docs: DataFrame, members: Column | None = None, **options) -> DataFram
     """The mixture itself: each row as often as it is taken, all columns kept."""
     members = F.array(F.col("source").cast("string")) if members is None else members
     out, _, _ = counted(docs, members, **options)
-    repeated = out.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int"))))
-    return repeated.select(*docs.columns)
+    return out.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 ORACLE = rf"""

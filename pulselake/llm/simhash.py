@@ -113,4 +113,5 @@ def drop_near_copies(docs: DataFrame, ident: str = "doc_id", text: str = "text")
     first = F.min(F.struct(F.col("ident").isNull().alias("unknown"), "ident", "place")).alias("first")
     alone = F.when(F.col("component").isNull(), F.col("print"))  # null ids have no group beyond their fingerprint
     kept = groups.groupBy("component", alone.alias("alone")).agg(first).select("first.place")
-    return docs.withColumn("__place", place).join(kept.withColumnRenamed("place", "__place"), "__place", "left_semi").drop("__place")
+    nested = docs.select(F.struct("*").alias("row"), place.alias("place"))  # so that no column can clash
+    return nested.join(kept, "place", "left_semi").select("row.*")
