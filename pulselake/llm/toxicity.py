@@ -1,7 +1,8 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
 A bounded sample of labelled texts is learnt from. Its terms are words and their beginnings; those
-that toxic examples hold more often than chance allows form the vocabulary, weighted by TF-IDF.
+that toxic examples hold more often than chance allows, and others seldom, form the vocabulary, weighted
+by TF-IDF.
 The examples are kept in an inverted index whose postings are cut into blocks of examples, each with
 the largest weight in it. A text's query visits the blocks in the order of their upper bounds and
 stops when no block left can enter the best ``NEIGHBOURS``, so the neighbours are exact. Their labels
@@ -31,11 +32,15 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, Stru
 from pulselake.llm.common import labelled_sample, remainder
 
 #: Labelled rows learnt from at most; those of smallest hash are taken.
-SAMPLE_ROWS = 12_000
+SAMPLE_ROWS = 8_000
 THRESHOLD, NEIGHBOURS, BLOCK = 0.3, 15, 32
 BEGINNINGS = (3, 4, 5, 6)
 #: Weight of the rate of toxic examples beside the cosines of the neighbours, and of the doubt in rates.
 DOUBT = 0.25
+#: Toxic examples that a term of the vocabulary occurs in, at least.
+LEAST = 3
+#: The share of toxic ones among the examples with a term of the vocabulary, at least.
+SHARE = 0.3
 BATCH = 256
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -68,7 +73,7 @@ class Index:
     weights: list[np.ndarray]
     blocks: list[np.ndarray]  # by term: blocks of examples that it occurs in, ascending
     tops: list[np.ndarray]  # by term: largest weight in each of these blocks
-    cuts: list[np.ndarray]  # by term: where the postings of each of these blocks begin, and the end
+    homes: list[np.ndarray]  # by term: the block of each of its examples
     prior: float
     blank: float  # score of a text without terms
 
@@ -79,23 +84,20 @@ class Index:
         for t, w in vector.items():
             bound[self.blocks[t]] += w * self.tops[t]
         order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
+        order = order[: np.count_nonzero(bound)]
         best: list[tuple[float, int]] = []
-        for at in range(0, len(order), 8):
-            some = order[at : at + 8]
-            # Bounds and scores are rounded sums of the same products, hence the hair's breadth.
-            if len(best) == count and bound[some[0]] < -best[-1][0] - 1e-12:
-                break
+        at, step = 0, 8
+        # Bounds and scores are rounded sums of the same products, hence the hair's breadth.
+        while at < len(order) and (len(best) < count or bound[order[at]] >= -best[-1][0] - 1e-12):
+            wanted = np.zeros(n_blocks, bool)
+            wanted[order[at : at + step]] = True
             score = np.zeros(n_blocks * BLOCK)
             for t, w in vector.items():
-                place = np.searchsorted(self.blocks[t], some)
-                place = place[(place < len(self.blocks[t]))]
-                place = place[np.isin(self.blocks[t][place], some)]
-                for p in place.tolist():
-                    a, b = self.cuts[t][p], self.cuts[t][p + 1]
-                    score[self.examples[t][a:b]] += w * self.weights[t][a:b]
-            found = np.flatnonzero(score > 0)
+                here = wanted[self.homes[t]]
+                score[self.examples[t][here]] += w * self.weights[t][here]
+            found = np.flatnonzero(score)
             best = sorted(best + list(zip((-score[found]).tolist(), found.tolist())))[:count]
+            at, step = at + step, 2 * step
         return [(-s, e) for s, e in best]
 
     def vector(self, counts: Counter) -> dict[int, float]:
@@ -115,9 +117,11 @@ class Index:
 
     def score(self, texts: list[str | None]) -> list[tuple[float, list]]:
         out = []
+        starts = {t[: BEGINNINGS[0]] for t in self.vocabulary}
         for at in range(0, len(texts), BATCH):
             split = [words_of(t) for t in texts[at : at + BATCH]]
-            known = {w: [self.vocabulary[t] for t in terms_of(w) if t in self.vocabulary] for w in set().union(*split)}
+            some = [w for w in set().union(*split) if w[: BEGINNINGS[0]] in starts]
+            known = {w: [self.vocabulary[t] for t in terms_of(w) if t in self.vocabulary] for w in some}
             marked = {w: t for w, t in known.items() if t}
             out += [self.vote(Counter(t for w in s if w in marked for t in marked[w])) for s in split]
         return out
@@ -142,10 +146,17 @@ def learn(sample: pd.DataFrame) -> Index:
     toxic = sample["label"].to_numpy() > 0
     rows = _first_copies(split)
     n, n_toxic = len(rows), int(toxic[rows].sum())
+    # Terms in fewer than LEAST toxic examples are never counted by name: most fall to counts by hash.
+    rough = np.zeros(1 << 22, np.uint16)
+    for i in rows:
+        if toxic[i]:
+            rough[np.unique([hash(t) & (1 << 22) - 1 for w in set(split[i]) for t in terms_of(w)]).astype(np.int64)] += 1
+    frequent = bytearray((rough >= LEAST).view(np.uint8))
     held: Counter = Counter()
     for i in rows:
         if toxic[i]:
-            held.update({t for w in set(split[i]) for t in terms_of(w)})
+            held.update({t for w in set(split[i]) for t in terms_of(w) if frequent[hash(t) & (1 << 22) - 1]})
+    held = Counter({t: n for t, n in held.items() if n >= LEAST})
     also: Counter = Counter()
     for i in rows:
         if not toxic[i]:
@@ -159,8 +170,8 @@ def learn(sample: pd.DataFrame) -> Index:
             return 0.0
         return 2 * (a * math.log(a / expected) + (b * math.log(b / (a + b - expected)) if b else 0))
 
-    least = 2 * math.log(max(len(held), 2))
-    chosen = sorted(t for t in held if held[t] >= 3 and excess(t) >= least)
+    least = 2 * math.log(max(np.count_nonzero(rough), 2))
+    chosen = sorted(t for t in held if excess(t) >= least and held[t] >= SHARE * (held[t] + also[t]))
     vocabulary = {t: i for i, t in enumerate(chosen)}
     idf = np.array([math.log((1 + n) / (1 + held[t] + also[t])) + 1 for t in chosen])
     counts = [Counter(vocabulary[t] for w in s for t in terms_of(w) if t in vocabulary) for s in split]
@@ -181,7 +192,7 @@ def learn(sample: pd.DataFrame) -> Index:
         index.weights.append(weights)
         index.blocks.append(blocks)
         index.tops.append(np.maximum.reduceat(weights, first) if len(first) else weights)
-        index.cuts.append(np.append(first, len(examples)))
+        index.homes.append(examples // BLOCK)
     return index
 
 
