@@ -266,7 +266,7 @@ ORACLE: dict[str, str] = {
     "q_scan_bronze": f'select record_type, user_id, "timestamp", {", ".join(BODY["wearable"])}, {PARTS} from fx_wearable',
     "q_scan_silver": shown("wearable", "en_wearable", 'failure_reason, job_type, fitness_goal, gym_id, cast("date" as varchar) as "date"'),
     "q_reference_csv": "select * from fx_user_profiles",
-    "q_stream_incremental": f'select record_type, user_id, "timestamp", {", ".join(BODY["wearable"])}, true as audited from fx_wearable',
+    "q_stream_incremental": 'select record_type, user_id, "timestamp", true as audited from fx_all',
     "q_stream_demux": "select case when reject_reason is null then record_type else 'rejected' end as record_type, reject_reason, "
         + ", ".join(f'case when reject_reason is null then {c} end as {c}' for c in ["user_id", '"timestamp"'] + STREAM) + " from decoded",
     "q_bronze_write": f"select record_type, \"year\", \"month\", \"day\", count(*) as n_rows from (select record_type, {PARTS} from fx_all) group by all",
@@ -426,8 +426,9 @@ ORACLE: dict[str, str] = {
         union all select 'gold_community_analytics', 'success', (select count(*) from g_community)
         union all select 'gold_user_profile_enriched', 'success', (select count(*) from last_profile)""",
     "q_stream_two_consumers": "select record_type, count(*) as n_archive, count(*) as n_alerts from bronze_types group by 1",
-    "q_stream_dedup": 'select distinct record_type, user_id, "timestamp" from fx_all',
-    "q_stream_silver": f"select record_type, user_id, {TS}, failure_reason from all_jd where record_type in ('sleep_log', 'user_profile')",
+    "q_stream_dedup": '''select distinct record_type, user_id, "timestamp" from fx_all where user_id is not null and try_cast("timestamp" as timestamp) is not null
+        union all select record_type, user_id, "timestamp" from (select distinct * from fx_all where user_id is null or try_cast("timestamp" as timestamp) is null)''',
+    "q_stream_silver": f"select record_type, user_id, {TS}, failure_reason from all_jd",
     "q_stream_progress": "select count(*) as rows_consumed, count(*) as rows_held from fx_all",
 }
 

@@ -170,14 +170,18 @@ def q_reference_csv(spark, sf_dir):
 @query
 def q_stream_incremental(spark, sf_dir):
     base = workspace(spark, "incremental")
-    landing, bronze, memory = f"{base}/landing", f"{base}/bronze", f"{base}/checkpoint"
-    for drop in (FIRST_DROP, SECOND_DROP, None):
-        if drop is not None:
-            record_drop(spark, sf_dir, "wearable_event", drop).write.mode("append").parquet(landing)
-        ingest.ingest_files(spark, "wearable_event", landing, bronze, memory)
-    rows = spark.read.parquet(bronze)
+
+    def deliver(t):
+        for drop in (FIRST_DROP, SECOND_DROP, None):
+            if drop is not None:
+                record_drop(spark, sf_dir, t, drop).write.mode("append").parquet(f"{base}/landing/{t}")
+            ingest.ingest_files(spark, t, f"{base}/landing/{t}", f"{base}/bronze", f"{base}/checkpoint/{t}")
+
+    side_by_side(deliver, schemas.RECORD_TYPES)
     audited = F.col("_ingested_at").isNotNull() & F.col("_source_file").contains("/landing/")
-    return rows.select(*schemas.BRONZE["wearable_event"].names, audited.alias("audited"))
+    rows = spark.read.parquet(f"{base}/bronze").select("record_type", "user_id", "timestamp", audited.alias("audited"))
+    readable = tables.read_many([tables.read_bronze(spark, f"{base}/bronze", t).select("record_type") for t in schemas.RECORD_TYPES])
+    return rows.join(readable.distinct(), "record_type", "left_semi")
 
 
 @query
@@ -188,7 +192,7 @@ def q_stream_demux(spark, sf_dir):
         ingest.text_stream(spark, f"{base}/landing"), f"{base}/bronze", f"{base}/checkpoint"
     )
     schema = spark.read.parquet(f"{base}/bronze").drop("payload")
-    kept = [c for c in schema.columns if c not in ("year", "month", "day")]
+    kept = [c for c in schema.columns if c not in ("year", "month", "day", "writer", "batch")]
     return schema.select(*kept)
 
 
@@ -390,7 +394,7 @@ def q_replay_equals_batch(spark, sf_dir):
         payloads.filter(drop).select("value").write.mode("append").text(landing)
         ingest.ingest_messages(ingest.text_stream(spark, landing), f"{base}/live", f"{base}/live_memory")
     ingest.ingest_messages(ingest.text_stream(spark, landing), f"{base}/replay", f"{base}/replay_memory")
-    live, replay = spark.read.parquet(f"{base}/live"), spark.read.parquet(f"{base}/replay")
+    live, replay = (spark.read.parquet(f"{base}/{n}").drop("writer", "batch") for n in ("live", "replay"))
     live, replay = live.withColumn("n_live", F.lit(1)), replay.withColumn("n_live", F.lit(-1))
     balance = live.unionByName(replay).groupBy(*[c for c in live.columns if c != "n_live"]).agg(
         F.count_if(F.col("n_live") > 0).alias("live"), F.count_if(F.col("n_live") < 0).alias("replayed"))
@@ -822,7 +826,7 @@ def q_stream_dedup(spark, sf_dir):
 def q_stream_silver(spark, sf_dir):
     base = workspace(spark, "stream_silver")
     refs = fx.references(spark, sf_dir)
-    types = ("sleep_log", "user_profile")
+    types = schemas.RECORD_TYPES
 
     def deliver(t):
         for drop in (FIRST_DROP, SECOND_DROP):

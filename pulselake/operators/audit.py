@@ -91,7 +91,7 @@ def reconcile(
     ``values`` under null-safe comparison; equal tables give no rows.
     """
     left = landing.select(
-        *[F.col(a).alias(b) for a, b in keys.items()],
+        *[F.col(a).alias(f"_l_{b}") for a, b in keys.items()],
         *[F.col(v).alias(f"landing_{v}") for v in values], F.lit(True).alias("_l"),
     )
     right = final.select(
@@ -105,9 +105,14 @@ def reconcile(
         .when(F.col("_l").isNull(), "missing_in_landing")
         .when(~equal, "value_differs")
     )
+    same = F.lit(True)
+    for k in keys.values():
+        same = same & F.col(f"_l_{k}").eqNullSafe(F.col(k))
+    found = [F.when(F.col("_l").isNotNull(), F.col(f"_l_{k}")).otherwise(F.col(k)).alias(k) for k in keys.values()]
+    rest = [f"landing_{v}" for v in values] + [f"final_{v}" for v in values]
     return (
-        left.join(right, list(keys.values()), "full_outer")
+        left.join(right, same, "full_outer")
         .withColumn("difference", difference)
         .filter(F.col("difference").isNotNull())
-        .drop("_l", "_r")
+        .select(*found, *rest, "difference")
     )

@@ -66,18 +66,19 @@ _ORDINALS = 128
 def with_surrogate_key(df: DataFrame, natural_key: Sequence[str], name: str) -> DataFrame:
     """Add a unique, repeatable BIGINT key first in the table.
 
-    The ordinal settles digest collisions, so keys are unique at any size; should more rows share
-    a digest than there are ordinals, which means the natural key is not unique, the job fails.
+    The ordinal settles collisions between digests of different keys. A second row with the same
+    natural key fails the job.
     """
     text = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x1e")) for c in natural_key])
     digest = F.conv(F.substring(F.md5(text), 1, _DIGEST_HEX), 16, 10).cast("bigint")
     window = Window.partitionBy("_digest").orderBy(*total_order(natural_key))
     ordinal = F.col("_ordinal")
-    key = F.when(ordinal <= _ORDINALS, F.col("_digest") * _ORDINALS + ordinal - 1).otherwise(
+    distinct = (F.col("_before").isNull() | (F.col("_before") != F.col("_text"))) & (ordinal <= _ORDINALS)
+    key = F.when(distinct, F.col("_digest") * _ORDINALS + ordinal - 1).otherwise(
         F.raise_error(F.lit(f"{name}: natural key is not unique")).cast("bigint")
     )
     return (
-        df.withColumn("_digest", digest)
-        .withColumn("_ordinal", F.row_number().over(window))
+        df.withColumns({"_digest": digest, "_text": text})
+        .withColumns({"_ordinal": F.row_number().over(window), "_before": F.lag("_text").over(window)})
         .select(key.alias(name), *df.columns)
     )

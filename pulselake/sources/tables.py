@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulselake import schemas
 
 BRONZE_PARTITIONS = ("record_type", "year", "month", "day")
+WRITER_PARTITIONS = ("writer", "batch")
+OWN_KEY = "_own_key"
 SILVER, QUARANTINE = "silver", "quarantine"
 ROWS_PER_FILE = 5_000_000
-MAX_LISTED = 1000
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -31,10 +34,10 @@ def read_parquet_or_empty(spark: SparkSession, path: str, schema: T.StructType)
 
 def read_bronze(spark: SparkSession, root: str, record_type: str) -> DataFrame:
     """One type's Bronze rows with their ``year``, ``month`` and ``day`` partition columns."""
-    parts = T.StructType([T.StructField(c, T.StringType()) for c in BRONZE_PARTITIONS[1:]])
+    parts = [T.StructField(c, T.StringType()) for c in (*BRONZE_PARTITIONS[1:], *WRITER_PARTITIONS)]
     schema = T.StructType([*schemas.BRONZE[record_type], *parts])
     table = read_parquet_or_empty(spark, root, schema)
-    return table.filter(F.col("record_type") == record_type)
+    return table.filter(F.col("record_type") == record_type).drop(*WRITER_PARTITIONS)
 
 
 def read_zone(spark: SparkSession, root: str, record_type: str, zone: str) -> DataFrame:
@@ -81,11 +84,16 @@ def with_date(df: DataFrame) -> DataFrame:
     return df.withColumn("date", F.to_date("timestamp")) if "timestamp" in df.columns else df
 
 
-def write_bronze(records: DataFrame, root: str) -> None:
-    """Append a batch of decoded records, each row under the date of its own timestamp."""
-    records.hint("rebalance", *BRONZE_PARTITIONS).write.mode("append").option(
-        "maxRecordsPerFile", ROWS_PER_FILE
-    ).partitionBy(*BRONZE_PARTITIONS).parquet(root)
+def write_bronze(records: DataFrame, root: str, writer: str = "load", batch: str | None = None) -> None:
+    """Add a batch of decoded records, each row under the date of its own timestamp.
+
+    Within a date, rows lie under who wrote them and in which batch. The same writer and batch
+    again replaces what it wrote, which makes a repeat harmless; a load without a batch name is new.
+    """
+    named = records.withColumns({"writer": F.lit(writer), "batch": F.lit(batch or f"u{uuid.uuid4().hex}")})
+    named.hint("rebalance", *BRONZE_PARTITIONS).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(*BRONZE_PARTITIONS, *WRITER_PARTITIONS).parquet(root)
 
 
 def zoned(judged: DataFrame) -> DataFrame:
@@ -141,14 +149,10 @@ def store(table: DataFrame, root: str, name: str) -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(f"{root}/{name}")
 
 
-def touched_partitions(rows: DataFrame, column: str) -> Column | None:
-    """Filter on the values of ``column`` in ``rows``, or none if there are too many to list."""
-    found = rows.select(column).distinct().limit(MAX_LISTED + 1).collect()
-    if len(found) > MAX_LISTED:
-        return None
-    values = [r[0] for r in found if r[0] is not None]
-    wanted = F.col(column).isin(values)
-    return wanted | F.col(column).isNull() if len(values) < len(found) else wanted
+def touched(table: DataFrame, rows: DataFrame, column: str) -> DataFrame:
+    """The rows of ``table`` in partitions that occur in ``rows``, which Spark prunes while it runs."""
+    values = rows.select(F.col(column).alias("_touched")).distinct()
+    return table.join(values, F.col(column).eqNullSafe(F.col("_touched")), "left_semi")
 
 
 def append_new_rows(
@@ -158,17 +162,13 @@ def append_new_rows(
     """Append the rows whose key is not in the table yet; running it again appends nothing.
 
     ``rows`` must be unique on ``keys``, and a key must lie in one ``prune_by`` partition; keys
-    compare null-safe. Of the table, only the partitions that occur in ``rows`` are read, or all
-    of them when ``rows`` spans more than ``MAX_LISTED``. ``rows`` is used twice and therefore
-    persisted.
+    compare null-safe. Of the table, only the partitions that occur in ``rows`` matter. ``rows`` is
+    used twice and therefore persisted.
     """
     seen = Observation()
     rows = rows.persist()
     try:
-        table = read_parquet_or_empty(rows.sparkSession, path, rows.schema)
-        touched = touched_partitions(rows, prune_by)
-        if touched is not None:
-            table = table.filter(touched)
+        table = touched(read_parquet_or_empty(rows.sparkSession, path, rows.schema), rows, prune_by)
         known = table.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
         same = F.lit(True)
         for k in keys:
@@ -183,7 +183,5 @@ def append_new_rows(
 
 
 def append_audit(rows: DataFrame, path: str, run_id: str) -> None:
-    """Add a run's rows to an audit log. Repeating a run replaces its own entries only."""
-    rows.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("run_id").parquet(path)
+    """Add a run's rows to an audit log. Repeating a run replaces its own entries only, also by none."""
+    rows.write.mode("overwrite").parquet(f"{path}/run_id={quote(run_id, safe='-_.~')}")

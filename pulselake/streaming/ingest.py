@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -13,7 +14,7 @@ from pulselake import schemas
 from pulselake.functions.codec import decode_records
 from pulselake.functions.texts import date_parts
 from pulselake.operators.keys import deduplicate
-from pulselake.sources.tables import BRONZE_PARTITIONS, append_new_rows
+from pulselake.sources.tables import OWN_KEY, append_new_rows, write_bronze
 
 REJECTED = "rejected"
 
@@ -55,34 +56,45 @@ def drain(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def append_stream(
-    stream: DataFrame, path: str, checkpoint: str, partitions: Sequence[str] = ()
-) -> StreamingQuery:
-    """Append what is new since the last run of this checkpoint, then stop.
+def append_stream(rows: DataFrame, bronze: str, checkpoint: str) -> StreamingQuery:
+    """Append what is new since the last run of this checkpoint to partitioned Bronze, then stop.
 
-    The file sink commits each batch once; files of a failed attempt are ignored by readers.
+    Each micro-batch is a set of partitions named after the checkpoint and the batch's number, which
+    a repeated batch overwrites: every batch counts once, and any number of streams and batch loads
+    share one root. The rows of each batch are counted on the writing job; see ``progress``.
     """
-    writer = (
-        stream.writeStream.format("parquet")
+    writer = hashlib.md5(checkpoint.encode()).hexdigest()[:16]
+    counted: dict[int, int] = {}
+
+    def on_batch(batch: DataFrame, number: int) -> None:
+        seen = Observation()
+        write_bronze(batch.observe(seen, F.count(F.lit(1)).alias("rows")), bronze, writer, f"n{number:012d}")
+        counted[number] = seen.get["rows"]
+
+    query = (
+        rows.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
-        .option("compression", "snappy")
-        .outputMode("append")
         .trigger(availableNow=True)
+        .start()
     )
-    if partitions:
-        writer = writer.partitionBy(*partitions)
-    return writer.start(path)
+    query.counted = counted
+    return query
 
 
 def ingest_files(
     spark: SparkSession, record_type: str, landing: str, bronze: str, checkpoint: str,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """One type's landing Parquet files into its Bronze table with two audit columns."""
+    """One type's landing Parquet files into Bronze by type and date, with two audit columns.
+
+    All types can go to the same root, each with a checkpoint of its own.
+    """
     stream = file_stream(spark, landing, schemas.BRONZE[record_type], max_files=max_files)
-    audited = stream.withColumns(
-        {"_ingested_at": F.current_timestamp(), "_source_file": F.col("_metadata.file_path")}
-    )
+    audited = stream.withColumns({
+        "record_type": F.coalesce("record_type", F.lit(record_type)),
+        "_ingested_at": F.current_timestamp(), "_source_file": F.col("_metadata.file_path"),
+        **date_parts(F.col("timestamp").try_cast("timestamp")),
+    })
     return drain(append_stream(audited, bronze, checkpoint))
 
 
@@ -110,21 +122,19 @@ def bronze_rows(messages: DataFrame, value: str = "value", encoding: str = "base
 def ingest_messages(
     messages: DataFrame, bronze: str, checkpoint: str, encoding: str = "base64"
 ) -> StreamingQuery:
-    """Decode and demultiplex a message stream into partitioned Bronze, drain and stop.
-
-    Live batches span a day or two, so each task writes few files without a shuffle. Load a long
-    history with ``bronze_rows`` and the batch writer, which lays it out by date.
-    """
-    rows = bronze_rows(messages, encoding=encoding)
-    return drain(append_stream(rows, bronze, checkpoint, BRONZE_PARTITIONS))
+    """Decode and demultiplex a message stream into partitioned Bronze, drain and stop."""
+    return drain(append_stream(bronze_rows(messages, encoding=encoding), bronze, checkpoint))
 
 
 def append_unique(
     stream: DataFrame, path: str, checkpoint: str,
-    keys: Sequence[str] = ("user_id", "timestamp"),
+    keys: Sequence[str] = ("record_type", "user_id", "timestamp"),
 ) -> StreamingQuery:
     """Drain an at-least-once stream into a table that holds each key once.
 
+    A row without a readable time or with a null in its key is told apart by its whole content, so
+    only exact copies of it are dropped.
+
     Copies within a micro-batch are reduced map-side, copies of earlier batches by the idempotent
     append. Nothing is kept in state, so no copy comes too late and no late row is lost; a batch
     repeated after a failure adds nothing.
@@ -132,7 +142,12 @@ def append_unique(
 
     def on_batch(batch: DataFrame, _batch_id: int) -> None:
         day = F.to_date(F.col("timestamp").try_cast("timestamp"))
-        append_new_rows(deduplicate(batch, keys).withColumn("date", day), path, keys)
+        unusable = day.isNull()
+        for k in keys:
+            unusable = unusable | F.col(k).isNull()
+        content = F.to_json(F.struct(*batch.columns))
+        keyed = batch.withColumns({"date": day, OWN_KEY: F.when(unusable, content)})
+        append_new_rows(deduplicate(keyed, (*keys, OWN_KEY)), path, (*keys, OWN_KEY))
 
     return drain(
         stream.writeStream.foreachBatch(on_batch)
@@ -143,6 +158,6 @@ def append_unique(
 
 
 def progress(query: StreamingQuery) -> dict[str, int]:
-    """Totals of a finished query: batches run and rows read."""
-    steps = [p for p in query.recentProgress if p.numInputRows > 0]
-    return {"n_batches": len(steps), "rows_read": sum(p.numInputRows for p in steps)}
+    """Totals of a finished Bronze query: batches with rows, and rows read."""
+    counts = [n for n in query.counted.values() if n]
+    return {"n_batches": len(counts), "rows_read": sum(counts)}

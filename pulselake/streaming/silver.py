@@ -12,8 +12,6 @@ from pulselake.plans.runs import judge
 from pulselake.sources import tables
 from pulselake.streaming.ingest import drain
 
-_OWN = "_own_key"
-
 
 def append_judged(batch: DataFrame, root: str, record_type: str, refs: References) -> int:
     """Judge a batch and append the rows whose key is in neither zone yet.
@@ -25,9 +23,9 @@ def append_judged(batch: DataFrame, root: str, record_type: str, refs: Reference
     rows = tables.conform(judged, schemas.silver_schema(record_type))
     unusable = F.col("user_id").isNull() | F.col("timestamp").isNull()
     content = F.to_json(F.struct(*[f.name for f in schemas.BRONZE[record_type]]))
-    keyed = rows.withColumn(_OWN, F.when(unusable, content))
+    keyed = rows.withColumn(tables.OWN_KEY, F.when(unusable, content))
     return tables.append_new_rows(
-        keyed, f"{root}/{record_type}", ("user_id", "timestamp", _OWN), ("zone", "date")
+        keyed, f"{root}/{record_type}", ("user_id", "timestamp", tables.OWN_KEY), ("zone", "date")
     )
 
 

@@ -55,7 +55,7 @@ def test_colliding_digests_still_get_different_keys(spark, monkeypatch):
     assert keys.with_surrogate_key(df, ["user_id"], "sk").select("sk").distinct().count() == 300
 
 
-def test_repeated_natural_key_beyond_the_ordinals_fails(spark):
-    df = spark.range(200).select(F.lit("U1").alias("user_id"))
+def test_a_second_row_of_a_natural_key_fails(spark):
+    df = spark.range(2).select(F.lit("U1").alias("user_id"))
     with pytest.raises(Exception, match="not unique"):
         keys.with_surrogate_key(df, ["user_id"], "sk").collect()
