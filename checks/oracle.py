@@ -293,6 +293,7 @@ ORACLE: dict[str, str] = {
     "q_union_by_name": """select user_id, "timestamp", gym_id, rpe, cast(null as bigint) as age from fx_workout
         union all select user_id, "timestamp", gym_id, null, age from fx_profile""",
     "q_decode_payload": f'select id, record_type, user_id, "timestamp", {", ".join(STREAM)} from decoded where reject_reason is null',
+    "q_envelope_decode": f'select id, record_type, user_id, "timestamp", {", ".join(STREAM)} from decoded where reject_reason is null',
     "q_decode_errors": "select reject_reason, count(*) as n_rows from decoded where reject_reason is not null group by 1",
     "q_ingest_summary": """select record_type, count(*) as n_rows from decoded where reject_reason is null group by 1
         union all select 'total', count(*) from decoded where reject_reason is null""",

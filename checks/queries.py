@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from pulselake import schemas
 from pulselake.functions import scoring, texts
-from pulselake.functions.codec import decode_records
+from pulselake.functions.codec import decode_records, opened
 from pulselake.functions.numbers import round_half_up
 from pulselake.operators import audit, enrich, expectations, keys, quality, temporal, upsert
 from pulselake.operators.calendar import date_dimension
@@ -77,7 +77,7 @@ def silver(spark, sf_dir, record_type):
 def silver_enriched(spark, sf_dir, record_type):
     refs = fx.references(spark, sf_dir)
     bronze = fx.bronze(spark, sf_dir, record_type)
-    return enrich.enrich(silver(spark, sf_dir, record_type), record_type, refs, bronze)
+    return enrich.enrich(silver(spark, sf_dir, record_type), record_type, refs)
 
 
 def gold_fatigue(spark, sf_dir):
@@ -330,6 +330,15 @@ def q_decode_payload(spark, sf_dir):
     return decoded.filter("reject_reason is null").drop("payload", "reject_reason", "day")
 
 
+@query
+def q_envelope_decode(spark, sf_dir):
+    """The same records from base64 payloads under ``kinesis.data``, beside their stream position."""
+    wrapped = fx.payloads(spark, sf_dir).withColumns({
+        "value": F.to_json(F.struct(F.struct(F.col("value").alias("data")).alias("kinesis"))), "offset": F.col("id")})
+    decoded = decode_records(opened(wrapped, envelope="$.kinesis.data"))
+    return decoded.filter("reject_reason is null and offset = id").drop("payload", "reject_reason", "day", "_message", "offset")
+
+
 @query
 def q_decode_errors(spark, sf_dir):
     decoded = decode_records(fx.payloads(spark, sf_dir))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pulselake import schemas
 
 _CORRUPT = "_corrupt_record"
+MESSAGE = "_message"
 
 
 def payload_text(value: Column, encoding: str) -> Column:
@@ -18,9 +19,16 @@ def payload_text(value: Column, encoding: str) -> Column:
     raise ValueError(f"unknown payload encoding: {encoding}")
 
 
-def unwrap_envelope(value: Column) -> Column:
-    """The record inside a broker envelope that carries it under ``data``."""
-    return F.get_json_object(value.cast("string"), "$.data")
+def unwrap_envelope(value: Column, path: str = "$.data") -> Column:
+    """The record inside a broker envelope that carries it under the JSON path ``path``."""
+    return F.get_json_object(value.cast("string"), path)
+
+
+def opened(messages: DataFrame, value: str = "value", envelope: str | None = None) -> DataFrame:
+    """Messages taken out of their envelope, the whole message kept in ``_message``."""
+    if envelope is None:
+        return messages
+    return messages.withColumns({MESSAGE: F.col(value).cast("string"), value: unwrap_envelope(F.col(value), envelope)})
 
 
 def decode_records(messages: DataFrame, value: str = "value", encoding: str = "base64") -> DataFrame:

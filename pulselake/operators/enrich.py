@@ -13,8 +13,6 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulselake.operators.skew import skewed_left_join
-
 References = Mapping[str, "DataFrame | None"]
 
 
@@ -59,34 +57,28 @@ def look_up(rows: DataFrame, lookup: Lookup, refs: References) -> DataFrame:
     return joined.select(*rows.columns, *filled)
 
 
-def add_cohort(
-    events: DataFrame, refs: References, key_source: DataFrame | None = None
-) -> DataFrame:
+def add_cohort(events: DataFrame, refs: References) -> DataFrame:
     """Add each user's job, goal and gym, as far as the profile table has these columns.
 
-    The profile table grows with the number of users and a user may own a large share of the
-    events, so this is the skew-aware join. ``key_source`` is a cheaper table with the same hot
-    users to look for them in.
+    The profile table grows with the number of users. A user with a large share of the events, or
+    no user at all, fills partitions on the event side only, which adaptive execution splits.
     """
     users = refs.get("user_profiles")
     if users is None or "user_id" not in events.columns:
         return events
     wanted = users.select("user_id", *[c for c in COHORT_COLUMNS if c in users.columns])
-    return skewed_left_join(
-        events, wanted, "user_id", spread_by=["timestamp"], key_source=key_source
-    )
+    added = [c for c in wanted.columns if c != "user_id"]
+    return events.join(wanted, "user_id", "left").select(*events.columns, *added)
 
 
-def enrich(
-    rows: DataFrame, record_type: str, refs: References, key_source: DataFrame | None = None
-) -> DataFrame:
+def enrich(rows: DataFrame, record_type: str, refs: References) -> DataFrame:
     """Enrich one record type. Rows with a ``failure_reason`` get null enrichment columns."""
     out = rows
     if record_type in LOOKUPS:
         for lookup in LOOKUPS[record_type]:
             out = look_up(out, lookup, refs)
     else:
-        out = add_cohort(out, refs, key_source)
+        out = add_cohort(out, refs)
     if "failure_reason" not in rows.columns:
         return out
     valid = F.col("failure_reason").isNull()

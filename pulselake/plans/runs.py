@@ -37,28 +37,33 @@ def judge(
 ) -> DataFrame:
     """Bronze rows of one type to labelled, enriched rows of both zones."""
     judged = refine(bronze, record_type, rules, parity)
-    return enrich(judged, record_type, refs, key_source=bronze)
+    return enrich(judged, record_type, refs)
 
 
 def run_type(
-    spark: SparkSession, bronze_root: str, silver_root: str, record_type: str, refs: References
+    spark: SparkSession, bronze_root: str, silver_root: str, record_type: str, refs: References,
+    rules: Mapping[str, Sequence[Rule]] = RULES, parity: bool = False,
 ) -> dict:
     bronze = tables.read_bronze(spark, bronze_root, record_type).drop("year", "month", "day")
     if bronze.isEmpty():
         return {"record_type": record_type, "status": "skipped_no_data"}
-    counts = tables.write_judged(judge(bronze, record_type, refs), silver_root, record_type)
+    counts = tables.write_judged(judge(bronze, record_type, refs, rules, parity), silver_root, record_type)
     return {"record_type": record_type, "status": "success", **counts}
 
 
 def run_silver(
     spark: SparkSession, bronze_root: str, silver_root: str, refs: References,
     record_types: Sequence[str] = schemas.RECORD_TYPES,
+    rules: Mapping[str, Sequence[Rule]] = RULES, parity: bool = False,
 ) -> list[dict]:
-    """Bronze to Silver for every type; a failing type is reported and does not stop the rest."""
+    """Bronze to Silver for every type; a failing type is reported and does not stop the rest.
+
+    ``rules`` replaces the built-in rules, ``parity`` keeps the source platform's habits.
+    """
 
     def run(record_type: str) -> dict:
         try:
-            return run_type(spark, bronze_root, silver_root, record_type, refs)
+            return run_type(spark, bronze_root, silver_root, record_type, refs, rules, parity)
         except Exception as error:
             log.exception("record type %s failed", record_type)
             return {"record_type": record_type, "status": "error", "error": str(error)}

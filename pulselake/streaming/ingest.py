@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pulselake import schemas
-from pulselake.functions.codec import decode_records
+from pulselake.functions.codec import MESSAGE, decode_records, opened
 from pulselake.functions.texts import date_parts
 from pulselake.operators.keys import deduplicate
 from pulselake.sources.tables import OWN_KEY, append_new_rows, write_bronze
@@ -98,14 +98,19 @@ def ingest_files(
     return drain(append_stream(audited, bronze, checkpoint))
 
 
-def bronze_rows(messages: DataFrame, value: str = "value", encoding: str = "base64") -> DataFrame:
+def bronze_rows(
+    messages: DataFrame, value: str = "value", encoding: str = "base64", envelope: str | None = None
+) -> DataFrame:
     """Messages to rows of the multiplexed Bronze table.
 
+    ``envelope`` is the JSON path of the record where messages wrap it: ``$.data`` or
+    ``$.kinesis.data`` in the original's brokers. A message without it is poison, kept as it came.
+
     Good records go under their own type and date. Poison messages become type ``rejected`` with
     their text and reason, so one sink and one pass keep them all. The text is also kept for
     record types without a known layout.
     """
-    decoded = decode_records(messages, value, encoding)
+    decoded = decode_records(opened(messages, value, envelope), value, encoding)
     bad = F.col("reject_reason").isNotNull()
     known = F.col("record_type").isin(*schemas.RECORD_TYPES)
     fields = [f.name for f in schemas.stream_schema() if f.name != "record_type"]
@@ -113,17 +118,18 @@ def bronze_rows(messages: DataFrame, value: str = "value", encoding: str = "base
     return decoded.select(
         F.when(bad, REJECTED).otherwise(F.col("record_type")).alias("record_type"),
         *[F.when(~bad, F.col(c)).alias(c) for c in fields],
-        F.when(bad | ~known, F.col("payload")).alias("payload"),
+        F.when(bad | ~known, F.coalesce("payload", F.col(MESSAGE) if envelope else F.lit(None))).alias("payload"),
         "reject_reason",
         *[F.when(~bad, c).alias(n) for n, c in parts.items()],
     )
 
 
 def ingest_messages(
-    messages: DataFrame, bronze: str, checkpoint: str, encoding: str = "base64"
+    messages: DataFrame, bronze: str, checkpoint: str, encoding: str = "base64", envelope: str | None = None
 ) -> StreamingQuery:
     """Decode and demultiplex a message stream into partitioned Bronze, drain and stop."""
-    return drain(append_stream(bronze_rows(messages, encoding=encoding), bronze, checkpoint))
+    rows = bronze_rows(messages, encoding=encoding, envelope=envelope)
+    return drain(append_stream(rows, bronze, checkpoint))
 
 
 def append_unique(

@@ -1,58 +1,17 @@
 from pyspark.sql import functions as F
 
 from conftest import rows
-from pulselake.operators.skew import HOT_LIMIT, heavy_keys, skewed_left_join
-
-
-def skewed_events(spark, n=30_000):
-    """A third of the rows belong to one user, some have none, the rest spread over many."""
-    user = (
-        F.when(F.col("id") % 3 == 0, F.lit("U0"))
-        .when(F.col("id") % 50 == 1, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("U"), (F.col("id") % 977).cast("string")))
-    )
-    return spark.range(0, n, numPartitions=6).select(
-        user.alias("user_id"), F.col("id").alias("timestamp"))
-
-
-def users(spark):
-    return spark.range(0, 900).select(
-        F.concat(F.lit("U"), F.col("id").cast("string")).alias("user_id"),
-        (F.col("id") % 3).alias("job_type"))
-
-
-def test_only_the_hot_key_is_found(spark):
-    assert [r.user_id for r in heavy_keys(skewed_events(spark), "user_id").collect()] == ["U0"]
-
-
-def test_hot_list_is_bounded_and_empty_input_gives_none(spark):
-    assert heavy_keys(skewed_events(spark).filter("false"), "user_id").count() == 0
-    even = spark.range(99).select(F.col("id").cast("string").alias("user_id"))
-    assert heavy_keys(even, "user_id").count() <= HOT_LIMIT
-
-
-def test_salted_join_equals_plain_join(spark):
-    events, table = skewed_events(spark), users(spark)
-    repeated = table.union(table.filter("user_id in ('U0', 'U5')"))  # keys need not be unique
-    for side in (table, repeated):
-        ours = skewed_left_join(events, side, "user_id", ["timestamp"], fan_out=5)
-        assert ours.columns == ["user_id", "timestamp", "job_type"]
-        assert rows(ours) == rows(events.join(side, "user_id", "left"))
-
-
-def test_hot_rows_land_in_many_partitions(spark):
-    events, table = skewed_events(spark), users(spark)
-    before = {k: spark.conf.get(k) for k in
-              ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        joined = skewed_left_join(events, table, "user_id", ["timestamp"])
-        per_task = joined.groupBy(F.spark_partition_id().alias("p")).count()
-        counts = [r["count"] for r in per_task.collect()]
-        hot_tasks = joined.filter("user_id = 'U0'").select(F.spark_partition_id()).distinct().count()
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
-    assert sum(counts) == 30_000
-    assert hot_tasks == 8 and max(counts) < 30_000 / 4
+from pulselake.operators.enrich import add_cohort
+
+
+def test_cohort_join_reads_the_events_once_and_keeps_every_row(spark, folder):
+    user = F.when(F.col("id") % 3 == 0, F.lit("U0")).when(F.col("id") % 50 == 1, F.lit(None).cast("string")).otherwise(
+        F.concat(F.lit("U"), (F.col("id") % 977).cast("string")))
+    spark.range(0, 30_000).select(user.alias("user_id"), F.col("id").alias("timestamp")).write.parquet(folder)
+    events = spark.read.parquet(folder)
+    users = spark.range(0, 900).select(
+        F.concat(F.lit("U"), F.col("id").cast("string")).alias("user_id"), (F.col("id") % 3).alias("job_type"))
+    joined = add_cohort(events, {"user_profiles": users})
+    assert joined.columns == ["user_id", "timestamp", "job_type"]
+    assert rows(joined) == rows(events.join(users, "user_id", "left"))
+    assert joined._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
