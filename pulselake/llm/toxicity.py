@@ -32,7 +32,7 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, Stru
 from pulselake.llm.common import labelled_sample, remainder
 
 #: Labelled rows learnt from at most; those of smallest hash are taken.
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 6_000
 THRESHOLD, NEIGHBOURS, BLOCK = 0.3, 15, 32
 BEGINNINGS = (3, 4, 5, 6)
 #: Weight of the rate of toxic examples beside the cosines of the neighbours, and of the doubt in rates.
@@ -142,7 +142,8 @@ def _first_copies(split: list[list[str]]) -> list[int]:
 
 def learn(sample: pd.DataFrame) -> Index:
     """An index of the examples ``ident``, ``text`` and ``label`` (1: toxic)."""
-    split = [words_of(t) for t in sample["text"]]
+    one: dict[str, str] = {}  # one object per distinct word
+    split = [[one.setdefault(w, w) for w in words_of(t)] for t in sample["text"]]
     toxic = sample["label"].to_numpy() > 0
     rows = _first_copies(split)
     n, n_toxic = len(rows), int(toxic[rows].sum())
