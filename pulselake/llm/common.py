@@ -51,6 +51,30 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def smallest_hash(rows: DataFrame, ident: str, count: int) -> DataFrame:
+    """``ident`` of the ``count`` rows of smallest hash: a bounded sample that stays the same from run to run.
+
+    Hashes far above the expected cut are dropped first, so tasks do not each pass on ``count`` rows.
+    """
+    marks, total = F.xxhash64(ident), rows.count()
+    names = rows.select(ident)
+    if total > 4 * count:
+        names = names.where(marks < int((1 << 64) * 2 * count / total) - (1 << 63))
+    return names.orderBy(marks, ident).limit(count)
+
+
+def heaviest(rows: DataFrame, weight: str, count: int) -> DataFrame:
+    """The rows of largest ``weight``, at most ``count``: all above a level, in steps of a twelfth of an octave."""
+    level = F.floor(F.log2(F.col(weight) + 1) * 12)
+    cut, held = None, 0
+    for r in sorted(rows.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):  # at most 12 * 64
+        held += r["count"]
+        if held > count:
+            break
+        cut = r["level"]
+    return rows.where(level >= cut) if cut is not None else rows.limit(0)
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, rows: int, ident: str = "doc_id", text: str = "text"
 ) -> pd.DataFrame:
@@ -60,11 +84,9 @@ def labelled_sample(
     out, a document labelled twice takes its larger label. Columns: ``ident``, ``text``, ``label``.
     The identifiers are chosen first, so texts are read only for the chosen rows.
     """
-    chosen = (
-        labels.where((remainder(F.col(ident), 4) != 2) & F.col(label).isNotNull())
-        .groupBy(F.col(ident).alias("ident")).agg(F.max(label).alias("label"))
-        .orderBy(F.xxhash64("ident"), "ident").limit(rows)
-    )
+    labelled = labels.where((remainder(F.col(ident), 4) != 2) & F.col(label).isNotNull())
+    each = labelled.groupBy(F.col(ident).alias("ident")).agg(F.max(label).alias("label"))
+    chosen = each.join(F.broadcast(smallest_hash(each, "ident", rows)), "ident")
     texts = docs.select(F.col(ident).alias("ident"), F.coalesce(text, F.lit("")).alias("text"))
     found = texts.join(F.broadcast(chosen), "ident")  # at most ``rows`` identifiers
     return found.groupBy("ident", "label").agg(F.min("text").alias("text")).toPandas().sort_values("ident", ignore_index=True)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulselake.llm.common import stored
+from pulselake.llm.common import smallest_hash, stored
 from pulselake.llm.components import connected_components
 
 COSINE = 0.95
@@ -128,7 +128,7 @@ def classes_of(x: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, list[np.nd
             mean /= np.linalg.norm(mean)
             away = _angle(x[near] @ mean) + reach[near] + HAIR
             close = away <= RADIUS
-            if close[near == i].any():
+            if close[near == i].any() and close.sum() > 1:  # a point alone is its own centre
                 own, centre, far = near[close], mean, away[close]
         group[own] = len(centres)
         centres.append(centre)
@@ -189,7 +189,8 @@ def near_embeddings(vectors: DataFrame, ident: str = "vec_id", embedding: str =
     every = stored(base.mapInArrow(unit, form), "vectors")
     valid = every.where("x is not null")
     count = valid.count()
-    picked = valid.orderBy(F.xxhash64("node")).limit(SAMPLE).select("node", "x").collect()
+    chosen = smallest_hash(valid, "node", SAMPLE)
+    picked = valid.select("node", "x").join(F.broadcast(chosen), "node").collect()
     picked = sorted(picked, key=lambda r: r["node"])
     forest = spark.sparkContext.broadcast(grow(np.array([r["x"] for r in picked]), count))
 

@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from pulselake.llm.common import smallest_hash
+
 #: Pages learnt from at most (those of smallest hash), and characters of each that are read.
 SAMPLE_PAGES, SAMPLE_CHARS = 320, 16_000
 PATH, WORDS, MEASURES, HIDDEN = 192, 32, 6, 24
@@ -316,7 +318,7 @@ def learn(pages: list[str], seed: int = 7) -> Labeller:
 def main_text(pages: DataFrame, ident: str = "page_id", page: str = "html", sample: int = SAMPLE_PAGES) -> DataFrame:
     """Per page: ``page_id``, ``url``, ``text`` and ``n_chars``."""
     rows = pages.select(F.col(ident).alias("page_id"), "url", F.coalesce(page, F.lit("")).alias("html"))
-    chosen = rows.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
+    chosen = smallest_hash(rows.select("page_id").distinct(), "page_id", sample)
     head = F.substring("html", 1, SAMPLE_CHARS).alias("html")  # of training pages only
     found = rows.join(F.broadcast(chosen), "page_id").groupBy("page_id").agg(F.min(head).alias("html"))
 
