@@ -213,7 +213,7 @@ def _cohort_averages(per_user: DataFrame) -> DataFrame:
 
 
 def user_cohorts(profiles: DataFrame) -> DataFrame:
-    """Cohort of each user by the latest row that carries one."""
+    """Cohort of each user by the latest row."""
     return latest_per_key(profiles.select("user_id", "timestamp", *COHORT)).drop("timestamp")
 
 
