@@ -299,7 +299,7 @@ def learn(pages: list[str], seed: int = 7) -> Labeller:
     weights = [*model.inputs, *model.recurrent, model.output]
     speed, power = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     step = 0
-    for _ in range(EPOCHS * max(1, 200 // len(data))):
+    for _ in range(EPOCHS * min(10, max(1, 200 // len(data)))):  # few pages are read more often
         seen = [x if rng.random() < 0.3 else _varied(*x, words, rng) for x in data]
         rng.shuffle(seen)
         for at in range(0, len(seen), 16):
