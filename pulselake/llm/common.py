@@ -75,13 +75,13 @@ def heaviest(rows: DataFrame, weight: str, count: int) -> DataFrame:
     return rows.where(level >= cut) if cut is not None else rows.limit(0)
 
 
-def labelled_sample(
+def labelled_rows(
     docs: DataFrame, labels: DataFrame, label: str, rows: int, ident: str = "doc_id", text: str = "text"
-) -> pd.DataFrame:
+) -> DataFrame:
     """A bounded sample of labelled texts: the ``rows`` documents of smallest hash, with their label.
 
     Only labelled rows outside the held-out quarter (remainder 2 of 4) count; null labels are left
-    out, a document labelled twice takes its larger label. Columns: ``ident``, ``text``, ``label``.
+    out, a document labelled twice takes its larger label. Columns: ``ident``, ``label``, ``text``.
     The identifiers are chosen first, so texts are read only for the chosen rows.
     """
     labelled = labels.where((remainder(F.col(ident), 4) != 2) & F.col(label).isNotNull())
@@ -89,4 +89,11 @@ def labelled_sample(
     chosen = each.join(F.broadcast(smallest_hash(each, "ident", rows)), "ident")
     texts = docs.select(F.col(ident).alias("ident"), F.coalesce(text, F.lit("")).alias("text"))
     found = texts.join(F.broadcast(chosen), "ident")  # at most ``rows`` identifiers
-    return found.groupBy("ident", "label").agg(F.min("text").alias("text")).toPandas().sort_values("ident", ignore_index=True)
+    return found.groupBy("ident", "label").agg(F.min("text").alias("text"))
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, rows: int, ident: str = "doc_id", text: str = "text"
+) -> pd.DataFrame:
+    """The rows of ``labelled_rows`` on the driver, by ``ident``."""
+    return labelled_rows(docs, labels, label, rows, ident, text).toPandas().sort_values("ident", ignore_index=True)

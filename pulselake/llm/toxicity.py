@@ -1,13 +1,12 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-A bounded sample of labelled texts is learnt from. Its terms are words and their beginnings; those
-that toxic examples hold more often than chance allows, and others seldom, form the vocabulary, weighted
-by TF-IDF.
-The examples are kept in an inverted index whose postings are cut into blocks of examples, each with
-the largest weight in it. A text's query visits the blocks in the order of their upper bounds and
-stops when no block left can enter the best ``NEIGHBOURS``, so the neighbours are exact. Their labels
-are averaged with the cosines as weights, towards the rate of toxic examples when there is little to
-go by; a text without any term of the vocabulary gets the rate among examples of that kind.
+A bounded sample of labelled texts is learnt from, every example over its whole vocabulary. Its terms
+are all words, and those beginnings of words that mark toxic examples. Terms that toxic examples hold
+more often than chance allows weigh more, by how seldom other examples hold them.
+The examples are kept in an inverted index, its commonest terms as a dense table besides; the cosines
+of a text with all examples are summed in full, so the neighbours are exact. Their labels are averaged
+with powers of the cosines as weights, towards the rate of toxic examples when there is little to go
+by; a text without any term of the vocabulary gets the rate among examples without a mark.
 
 Defined results: null, empty and wordless texts have no terms; ties among neighbours go to the
 earlier example; without labelled rows every score is 0; rows that share an id are scored one by
@@ -17,10 +16,13 @@ one; an empty table gives no rows; other columns are ignored or, in ``drop_toxic
 from __future__ import annotations
 
 import math
+import pickle
 import re
 import zlib
 from collections import Counter
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -29,19 +31,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from pulselake.llm.common import labelled_sample, remainder
+from pulselake.llm.common import labelled_rows, remainder
 
 #: Labelled rows learnt from at most; those of smallest hash are taken.
 SAMPLE_ROWS = 6_000
-THRESHOLD, NEIGHBOURS, BLOCK = 0.3, 15, 32
+THRESHOLD, NEIGHBOURS = 0.3, 15
 BEGINNINGS = (3, 4, 5, 6)
 #: Weight of the rate of toxic examples beside the cosines of the neighbours, and of the doubt in rates.
 DOUBT = 0.25
-#: Toxic examples that a term of the vocabulary occurs in, at least.
-LEAST = 3
-#: The share of toxic ones among the examples with a term of the vocabulary, at least.
-SHARE = 0.3
-BATCH = 256
+#: Toxic examples that a marking term occurs in, at least; how much more it can weigh; the power of cosines as weights.
+LEAST, MARK, POWER = 3, 8.0, 2
+#: Terms of more examples than one in so many, and than so many, are also held in a dense table.
+COMMON, MANY = 24, 256
+#: More than sums of products of unit vectors in single precision can err.
+SLACK = 1e-4
+BATCH = 64
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _RESULT = StructType([
@@ -61,72 +65,122 @@ def terms_of(word: str) -> list[str]:
     return [word, *(f"{word[:n]}-" for n in BEGINNINGS if n <= len(word))]
 
 
+@dataclass
+class Lists(Sequence):
+    """Lists of values by term, kept end to end."""
+
+    ends: np.ndarray
+    values: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.ends) - 1
+
+    def __getitem__(self, term: int) -> np.ndarray:
+        return self.values[self.ends[term] : self.ends[term + 1]]
+
+
 @dataclass
 class Index:
-    """Examples as unit vectors in an inverted index with block maxima."""
+    """Examples as unit vectors in an inverted index."""
 
     vocabulary: dict[str, int]
     idf: np.ndarray
     idents: np.ndarray
     labels: np.ndarray
-    examples: list[np.ndarray]  # by term: numbers of the examples, ascending
-    weights: list[np.ndarray]
-    blocks: list[np.ndarray]  # by term: blocks of examples that it occurs in, ascending
-    tops: list[np.ndarray]  # by term: largest weight in each of these blocks
-    homes: list[np.ndarray]  # by term: the block of each of its examples
+    examples: Lists  # by term: numbers of the examples, ascending
+    weights: Lists
     prior: float
     blank: float  # score of a text without terms
+    starts: frozenset[str]  # first letters of the marking beginnings
+    dense: np.ndarray | None = field(default=None, repr=False)  # a row per common term, made on first use
+    place: np.ndarray | None = field(default=None, repr=False)  # by term: its row in ``dense``, or -1
+
+    def _common(self) -> None:
+        size = np.diff(self.examples.ends)
+        common = np.flatnonzero(size > max(MANY, len(self.labels) // COMMON))
+        self.place = np.full(len(size), -1)
+        self.place[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), len(self.labels)), np.float32)
+        for row, t in enumerate(common.tolist()):
+            self.dense[row, self.examples[t]] = self.weights[t]
+
+    def neighbours(self, parts: list[tuple[np.ndarray, np.ndarray]], count: int) -> Iterator[list[tuple[float, int]]]:
+        """For each vector, as terms and weights, the ``count`` examples of largest positive cosine; ties to the earlier one."""
+        if self.dense is None:
+            self._common()
+        wide = np.zeros((len(parts), len(self.dense)), np.float32)
+        for i, (terms, w) in enumerate(parts):
+            row = self.place[terms]
+            wide[i, row[row >= 0]] = w[row >= 0]
+        rough = wide @ self.dense
+        ends, examples, weights = self.examples.ends, self.examples.values, self.weights.values
+        for i, (terms, w) in enumerate(parts):
+            row = self.place[terms]
+            rare, common = row < 0, row >= 0
+            first, last = ends[terms[rare]], ends[terms[rare] + 1]
+            cuts = list(zip(first.tolist(), last.tolist()))
+            own = np.concatenate([examples[:0]] + [examples[a:b] for a, b in cuts], dtype=np.intp)
+            held = np.concatenate([weights[:0]] + [weights[a:b] for a, b in cuts]) * np.repeat(w[rare], last - first)
+            score = np.bincount(own, held, len(self.labels))
+            # Sums in single precision only tell which examples can be among the nearest.
+            guess = score + rough[i]
+            least = np.partition(guess, -count)[-count] - 2 * SLACK if len(guess) > count else -1.0
+            found = np.flatnonzero((guess >= least) & (guess > 0))
+            exact = score[found]
+            if common.any():
+                # Sums in another order differ in their last digits, which must not part ties.
+                exact = np.round(exact + w[common] @ self.dense[np.ix_(row[common], found)].astype(float), 12)
+            found, exact = found[exact > 0], exact[exact > 0]
+            order = np.argsort(-exact, kind="stable")[:count]
+            yield list(zip(exact[order].tolist(), found[order].tolist()))
 
     def nearest(self, vector: dict[int, float], count: int) -> list[tuple[float, int]]:
         """The ``count`` examples of largest positive cosine, with their numbers; ties to the smaller number."""
-        n_blocks = -(-len(self.labels) // BLOCK)
-        bound = np.zeros(n_blocks)
-        for t, w in vector.items():
-            bound[self.blocks[t]] += w * self.tops[t]
-        order = np.argsort(-bound, kind="stable")
-        order = order[: np.count_nonzero(bound)]
-        best: list[tuple[float, int]] = []
-        at, step = 0, 8
-        # Bounds and scores are rounded sums of the same products, hence the hair's breadth.
-        while at < len(order) and (len(best) < count or bound[order[at]] >= -best[-1][0] - 1e-12):
-            wanted = np.zeros(n_blocks, bool)
-            wanted[order[at : at + step]] = True
-            score = np.zeros(n_blocks * BLOCK)
-            for t, w in vector.items():
-                here = wanted[self.homes[t]]
-                score[self.examples[t][here]] += w * self.weights[t][here]
-            found = np.flatnonzero(score)
-            best = sorted(best + list(zip((-score[found]).tolist(), found.tolist())))[:count]
-            at, step = at + step, 2 * step
-        return [(-s, e) for s, e in best]
+        terms, weights = np.fromiter(vector, np.int64, len(vector)), np.fromiter(vector.values(), float, len(vector))
+        return next(self.neighbours([(terms, weights)], count))
 
     def vector(self, counts: Counter) -> dict[int, float]:
-        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
-        length = math.sqrt(sum(w * w for w in raw.values()))
-        return {t: w / length for t, w in sorted(raw.items())}
+        terms = np.array(sorted(counts), np.int64)
+        weights = self._unit(terms, np.array([counts[t] for t in terms.tolist()]))
+        return dict(zip(terms.tolist(), weights.tolist()))
 
-    def vote(self, counts: Counter) -> tuple[float, list[tuple[int, float, int]]]:
-        """A text's score, and its nearest examples with cosine and label."""
-        if not counts:
-            return self.blank, []
-        near = self.nearest(self.vector(counts), NEIGHBOURS)
-        weight = sum(s for s, _ in near)
-        toxic = sum(s * self.labels[e] for s, e in near)
+    def _unit(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        raw = (1 + np.log(counts)) * self.idf[terms]
+        return raw / math.sqrt(raw @ raw) if len(raw) else raw
+
+    def _judge(self, near: list[tuple[float, int]]) -> tuple[float, list[tuple[int, float, int]]]:
+        weight = sum(s**POWER for s, _ in near)
+        toxic = sum(s**POWER * self.labels[e] for s, e in near)
         score = (toxic + DOUBT * self.prior) / (weight + DOUBT)
         return float(score), [(int(self.idents[e]), float(s), int(self.labels[e])) for s, e in near[:3]]
 
+    def vote(self, counts: Counter) -> tuple[float, list[tuple[int, float, int]]]:
+        """A text's score, and its nearest examples with cosine and label."""
+        return self._judge(self.nearest(self.vector(counts), NEIGHBOURS)) if counts else (self.blank, [])
+
     def score(self, texts: list[str | None]) -> list[tuple[float, list]]:
         out = []
-        starts = {t[: BEGINNINGS[0]] for t in self.vocabulary}
         for at in range(0, len(texts), BATCH):
-            split = [words_of(t) for t in texts[at : at + BATCH]]
-            some = [w for w in set().union(*split) if w[: BEGINNINGS[0]] in starts]
-            known = {w: [self.vocabulary[t] for t in terms_of(w) if t in self.vocabulary] for w in some}
-            marked = {w: t for w, t in known.items() if t}
-            out += [self.vote(Counter(t for w in s if w in marked for t in marked[w])) for s in split]
+            found = [_counted(words_of(t), self.vocabulary, self.starts) for t in texts[at : at + BATCH]]
+            rows = self.neighbours([(t, self._unit(t, n)) for t, n in found if len(t)], NEIGHBOURS)
+            out += [self._judge(next(rows)) if len(t) else (self.blank, []) for t, _ in found]
         return out
 
 
+def _counted(words: list[str], vocabulary: dict[str, int], starts: frozenset[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of the vocabulary among words, ascending, and how often each occurs."""
+    held = Counter(words)
+    terms = np.fromiter(map(vocabulary.get, held, repeat(-1)), np.int64, len(held))
+    counts = np.fromiter(held.values(), np.int64, len(held))
+    begun = [(t, held[w]) for w in held if w[: BEGINNINGS[0]] in starts for b in terms_of(w)[1:] if (t := vocabulary.get(b)) is not None]
+    if begun:
+        terms = np.concatenate([terms, [t for t, _ in begun]])
+        counts = np.concatenate([counts, [n for _, n in begun]])
+    distinct, place = np.unique(terms, return_inverse=True)
+    total = np.bincount(place, counts, len(distinct))
+    return (distinct[1:], total[1:]) if len(distinct) and distinct[0] < 0 else (distinct, total)
+
+
 def _first_copies(split: list[list[str]]) -> list[int]:
     """Positions without near copies of earlier ones, by the smallest hashes of their word triples."""
     seen: Counter = Counter()
@@ -172,35 +226,61 @@ def learn(sample: pd.DataFrame) -> Index:
         return 2 * (a * math.log(a / expected) + (b * math.log(b / (a + b - expected)) if b else 0))
 
     least = 2 * math.log(max(np.count_nonzero(rough), 2))
-    chosen = sorted(t for t in held if excess(t) >= least and held[t] >= SHARE * (held[t] + also[t]))
-    vocabulary = {t: i for i, t in enumerate(chosen)}
-    idf = np.array([math.log((1 + n) / (1 + held[t] + also[t])) + 1 for t in chosen])
-    counts = [Counter(vocabulary[t] for w in s for t in terms_of(w) if t in vocabulary) for s in split]
-    full = [i for i, c in enumerate(counts) if c]
-    bare = [i for i, c in enumerate(counts) if not c]
+    marks = {t for t in held if excess(t) >= least}
+    begun = {t for t in marks if t[-1] == "-"}
+    starts = frozenset(t[: BEGINNINGS[0]] for t in begun)
+    vocabulary = {t: i for i, t in enumerate(sorted({*one, *begun}))}
+    # In how many examples each term occurs, and its weight.
+    within = np.zeros(len(vocabulary), np.int64)
+    for i in rows:
+        within[_counted(split[i], vocabulary, starts)[0]] += 1
+    idf = np.log((1 + n) / (1 + within)) + 1
+    for t in marks:
+        rate, usual = held[t] / (held[t] + also[t]), n_toxic / n
+        idf[vocabulary[t]] *= 1 + MARK * (rate - usual) / (1 - usual) if usual < 1 else 1
+    marked = np.zeros(len(vocabulary), bool)
+    marked[[vocabulary[t] for t in marks]] = True
     prior = float(toxic.mean()) if len(sample) else 0.0
-    blank = (float(toxic[bare].sum()) + DOUBT * prior) / (len(bare) + DOUBT)
-    index = Index(vocabulary, idf, sample["ident"].to_numpy()[full], toxic[full].astype(int), [], [], [], [], [], prior, blank)
-    postings: list[list[tuple[int, float]]] = [[] for _ in chosen]
-    for e, i in enumerate(full):
-        for t, w in index.vector(counts[i]).items():
-            postings[t].append((e, w))
-    for pairs in postings:
-        examples = np.array([e for e, _ in pairs], np.int64)
-        weights = np.array([w for _, w in pairs])
-        blocks, first = np.unique(examples // BLOCK, return_index=True)
-        index.examples.append(examples)
-        index.weights.append(weights)
-        index.blocks.append(blocks)
-        index.tops.append(np.maximum.reduceat(weights, first) if len(first) else weights)
-        index.homes.append(examples // BLOCK)
+    none = Lists(np.zeros(1, np.int64), np.zeros(0))
+    index = Index(vocabulary, idf, np.zeros(0), np.zeros(0, int), none, none, prior, 0.0, starts)
+    full, terms, weights, bare, toxic_bare = [], [], [], 0, 0
+    for i, words in enumerate(split):
+        found, counts = _counted(words, vocabulary, starts)
+        if not marked[found].any():
+            bare, toxic_bare = bare + 1, toxic_bare + int(toxic[i])
+        if len(found):
+            full.append(i)
+            terms.append(found.astype(np.int32))
+            weights.append(index._unit(found, counts).astype(np.float32).astype(float))  # as the dense table holds them
+        split[i] = []
+    index.blank = (toxic_bare + DOUBT * prior) / (bare + DOUBT)
+    index.idents, index.labels = sample["ident"].to_numpy()[full], toxic[full].astype(int)
+    flat = np.concatenate([np.zeros(0, np.int32), *terms])
+    order = np.argsort(flat, kind="stable")
+    owner = np.repeat(np.arange(len(full), dtype=np.int32), [len(t) for t in terms])
+    ends = np.concatenate([[0], np.cumsum(np.bincount(flat, minlength=len(vocabulary)))])
+    index.examples = Lists(ends, owner[order])
+    index.weights = Lists(ends, np.concatenate([np.zeros(0), *weights])[order])
     return index
 
 
+@dataclass
+class Packed:
+    """An index as bytes, opened once per worker; the driver only passes it on."""
+
+    packed: bytes
+    opened: Index | None = None
+
+    def index(self) -> Index:
+        if self.opened is None:
+            self.opened, self.packed = pickle.loads(self.packed), b""
+        return self.opened
+
+
 def _scorer(index: Broadcast) -> object:
     @F.pandas_udf(_RESULT)
     def judged(texts: pd.Series) -> pd.DataFrame:
-        found = index.value.score(texts.tolist())
+        found = index.value.index().score(texts.tolist())
         evidence = [[{"doc_id": i, "cosine": c, "toxic": y} for i, c, y in e] for _, e in found]
         return pd.DataFrame({"score": [s for s, _ in found], "evidence": evidence})
 
@@ -209,7 +289,15 @@ def _scorer(index: Broadcast) -> object:
 
 def fitted(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> object:
     """A function from a text column to ``score`` and ``evidence``, learnt from labelled rows."""
-    return _scorer(spark.sparkContext.broadcast(learn(labelled_sample(docs, labels, "toxic", rows))))
+
+    def train(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sample = pd.concat([pd.DataFrame({"ident": [], "label": [], "text": []}), *parts]).sort_values("ident", ignore_index=True)
+        yield pd.DataFrame({"index": [pickle.dumps(learn(sample))]})
+
+    # The sample is bounded and learnt from in one task.
+    found = labelled_rows(docs, labels, "toxic", rows).coalesce(1).mapInPandas(train, "index binary").first()
+    packed = bytes(found["index"]) if found else pickle.dumps(learn(pd.DataFrame({"ident": [], "text": [], "label": []})))
+    return _scorer(spark.sparkContext.broadcast(Packed(packed)))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS) -> DataFrame:
