@@ -31,10 +31,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from pulselake.llm.common import labelled_rows, remainder
+from pulselake.llm.common import labelled_rows, remainder, stored
 
 #: Labelled rows learnt from at most; those of smallest hash are taken.
-SAMPLE_ROWS = 6_000
+SAMPLE_ROWS = 12_000
 THRESHOLD, NEIGHBOURS = 0.3, 15
 BEGINNINGS = (3, 4, 5, 6)
 #: Weight of the rate of toxic examples beside the cosines of the neighbours, and of the doubt in rates.
@@ -46,6 +46,8 @@ COMMON, MANY = 24, 256
 #: More than sums of products of unit vectors in single precision can err.
 SLACK = 1e-4
 BATCH = 64
+#: Bytes of a piece of the index on its way to the driver, and the partitions of pieces.
+PIECE, PIECES = 1 << 20, 16
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _RESULT = StructType([
@@ -264,6 +266,22 @@ def learn(sample: pd.DataFrame) -> Index:
     return index
 
 
+def pack(index: Index) -> bytes:
+    """An index in few bytes; its weights are numbers of single precision already."""
+    terms = sorted(index.vocabulary, key=index.vocabulary.__getitem__)
+    parts = (
+        "\n".join(terms), index.idf, index.idents, index.labels, index.examples.ends, index.examples.values.astype(np.int32),
+        index.weights.values.astype(np.float32), index.prior, index.blank, index.starts,
+    )
+    return zlib.compress(pickle.dumps(parts), 1)
+
+
+def unpack(packed: bytes) -> Index:
+    terms, idf, idents, labels, ends, examples, weights, prior, blank, starts = pickle.loads(zlib.decompress(packed))
+    vocabulary = {t: i for i, t in enumerate(terms.split("\n") if terms else [])}
+    return Index(vocabulary, idf, idents, labels, Lists(ends, examples), Lists(ends, weights.astype(float)), prior, blank, starts)
+
+
 @dataclass
 class Packed:
     """An index as bytes, opened once per worker; the driver only passes it on."""
@@ -273,7 +291,7 @@ class Packed:
 
     def index(self) -> Index:
         if self.opened is None:
-            self.opened, self.packed = pickle.loads(self.packed), b""
+            self.opened, self.packed = unpack(self.packed), b""
         return self.opened
 
 
@@ -292,11 +310,15 @@ def fitted(spark: SparkSession, docs: DataFrame, labels: DataFrame, rows: int =
 
     def train(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sample = pd.concat([pd.DataFrame({"ident": [], "label": [], "text": []}), *parts]).sort_values("ident", ignore_index=True)
-        yield pd.DataFrame({"index": [pickle.dumps(learn(sample))]})
-
-    # The sample is bounded and learnt from in one task.
-    found = labelled_rows(docs, labels, "toxic", rows).coalesce(1).mapInPandas(train, "index binary").first()
-    packed = bytes(found["index"]) if found else pickle.dumps(learn(pd.DataFrame({"ident": [], "text": [], "label": []})))
+        packed = pack(learn(sample))
+        for at in range(0, len(packed), PIECE):
+            yield pd.DataFrame({"place": [at], "piece": [packed[at : at + PIECE]]})
+
+    # The sample is bounded and learnt from in one task; its index comes to the driver in pieces, a few at a time.
+    found = labelled_rows(docs, labels, "toxic", rows).coalesce(1).mapInPandas(train, "place long, piece binary")
+    pieces = stored(found.repartition(PIECES), "index").toLocalIterator()
+    packed = b"".join(piece for _, piece in sorted((r["place"], bytes(r["piece"])) for r in pieces))
+    packed = packed or pack(learn(pd.DataFrame({"ident": [], "text": [], "label": []})))  # no task, no row, without a label
     return _scorer(spark.sparkContext.broadcast(Packed(packed)))
 
 

@@ -35,3 +35,14 @@ def test_neighbours_with_common_terms_are_exact(monkeypatch):
         score = np.round(score, 12)
         assert [e for _, e in index.nearest(vector, 15)] == [e for e in np.argsort(-score, kind="stable")[:15].tolist() if score[e] > 0]
     assert len(index.dense)
+
+
+def test_toxicity_learns_from_all_rows_it_says():
+    assert toxicity.SAMPLE_ROWS == 12_000
+    assert not hasattr(toxicity, "SHARE")
+
+
+def test_packed_indexes_score_alike():
+    index = toxicity.learn(pd.DataFrame(examples(), columns=["ident", "text", "label"]))
+    texts = [t for _, t, _ in examples()[::30]] + ["", "unheard"]
+    assert toxicity.unpack(toxicity.pack(index)).score(texts) == index.score(texts)
