@@ -24,6 +24,7 @@ import pickle
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,8 +36,8 @@ from pyspark.sql.types import StringType
 
 from pulselake.llm.common import smallest_hash
 
-#: Pages learnt from at most (those of smallest hash), and characters of each that are read.
-SAMPLE_PAGES, SAMPLE_CHARS = 320, 16_000
+#: Pages learnt from at most (those of smallest hash), each whole.
+SAMPLE_PAGES = 320
 PATH, WORDS, MEASURES, HIDDEN = 192, 32, 6, 24
 EPOCHS, BATCH = 12, 128
 
@@ -147,11 +148,11 @@ def features(blocks: list[tuple[tuple[str, ...], str, int]]) -> np.ndarray:
     known: dict[tuple[str, ...], list[int]] = {}
     for i, (path, text, linked) in enumerate(blocks):
         if path not in known:
-            known[path] = [_hash(n, PATH) for n in path[-12:]]
+            known[path] = [_hash(n, PATH) for n in path]
         out[i, known[path]] = 1
         words = text.split()
-        for w in words[:32]:
-            out[i, PATH + _hash(w, WORDS)] += 1 / min(len(words), 32)
+        for w, n in Counter(words).items():
+            out[i, PATH + _hash(w, WORDS)] += n / len(words)
         out[i, PATH + WORDS :] = (
             np.log1p(len(text)) / 8, np.log1p(len(words)) / 6, linked / (len(text) + 1), sum(text.count(c) for c in ".,") / len(words),
             i / len(blocks), 1,
@@ -289,7 +290,7 @@ def learn(pages: list[str], seed: int = 7) -> Labeller:
     rng, model = random.Random(seed), Labeller.fresh(seed)
     data = []
     for page in pages:
-        blocks = blocks_of(page[:SAMPLE_CHARS])
+        blocks = blocks_of(page)
         labels = [named(p) for p, _, _ in blocks]
         if any(labels):
             data.append((blocks, [y or 0 for y in labels]))
@@ -319,8 +320,7 @@ def main_text(pages: DataFrame, ident: str = "page_id", page: str = "html", samp
     """Per page: ``page_id``, ``url``, ``text`` and ``n_chars``."""
     rows = pages.select(F.col(ident).alias("page_id"), "url", F.coalesce(page, F.lit("")).alias("html"))
     chosen = smallest_hash(rows.select("page_id").distinct(), "page_id", sample)
-    head = F.substring("html", 1, SAMPLE_CHARS).alias("html")  # of training pages only
-    found = rows.join(F.broadcast(chosen), "page_id").groupBy("page_id").agg(F.min(head).alias("html"))
+    found = rows.join(F.broadcast(chosen), "page_id").groupBy("page_id").agg(F.min("html").alias("html"))
 
     def train(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         texts = pd.concat([pd.DataFrame({"page_id": [], "html": []}), *parts]).sort_values("page_id")["html"]

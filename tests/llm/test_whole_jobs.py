@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pandas as pd
 
-from pulselake.llm import toxicity
+from pulselake.llm import main_text, toxicity
 
 
 def examples(count=300):
@@ -46,3 +46,22 @@ def test_packed_indexes_score_alike():
     index = toxicity.learn(pd.DataFrame(examples(), columns=["ident", "text", "label"]))
     texts = [t for _, t, _ in examples()[::30]] + ["", "unheard"]
     assert toxicity.unpack(toxicity.pack(index)).score(texts) == index.score(texts)
+
+
+def test_features_read_whole_paths_and_blocks():
+    inner = "<div class='wrap inner'><div class='row'><div class='col md'><div class='card body'><div class='text'><p>"
+    paths = [main_text.blocks_of(f"<body><{t}>{inner}Some words</p></{t}>")[0][0] for t in ("article", "aside")]
+    assert len(paths[0]) > 14
+    one, two = (main_text.features([(p, "Some words", 0)])[0] for p in paths)
+    assert not np.array_equal(one[: main_text.PATH], two[: main_text.PATH])
+    same = " ".join(["word"] * 32)
+    one, two = (main_text.features([(("p",), f"{same} {t}", 0)])[0, main_text.PATH : -main_text.MEASURES] for t in ("cookies", "accept"))
+    assert not np.array_equal(one, two)
+
+
+def test_sample_pages_are_learnt_from_whole(monkeypatch):
+    seen = []
+    monkeypatch.setattr(main_text, "blocks_of", lambda page: seen.append(len(page)) or [])
+    page = "<article>" + "<p>some words</p>" * 2000 + "</article><footer>end</footer>"
+    main_text.learn([page])
+    assert seen == [len(page)]
