@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulselake.llm import decontaminate, embedding_dedup, language, main_text, mixing, ppm, quality, simhash, token_output, toxicity
+from pulselake.llm import collocation, decontaminate, embedding_dedup, language, main_text, mixing, ppm, quality, simhash, token_output, toxicity
 from pulselake.llm.common import table
 
 
@@ -65,6 +65,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of each language whose words keep together, over all whole texts."""
+    return collocation.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -76,9 +81,11 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_main_text": op9_main_text,
     "op10_quality": op10_quality,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE: dict[str, str] = {
     "op4_benchmark_decontamination": decontaminate.ORACLE,
     "op7_mixing": mixing.ORACLE,
+    "op13_collocations": collocation.ORACLE,
 }
