@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pulselake.llm import collocation, decontaminate, embedding_dedup, language, main_text, mixing, ppm, quality, simhash, token_output, toxicity
+from pulselake.llm import collocation, conversations, decontaminate, embedding_dedup, language, main_text, mixing, ppm, quality, simhash, token_output, toxicity
 from pulselake.llm.common import table
 
 
@@ -65,6 +66,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged in known ways, with the cheapest edits that put their turns right."""
+    return conversations.report(conversations.damaged(table(spark, sf_dir, "conversations")), F.col("lost"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2,000 phrases of each language whose words keep together, over all whole texts."""
     return collocation.collocations(table(spark, sf_dir, "documents"))
@@ -81,6 +87,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_main_text": op9_main_text,
     "op10_quality": op10_quality,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_collocations": op13_collocations,
 }
 
