@@ -34,7 +34,7 @@ LEAST, DEPTH, TOP, SHARE, SCALE = 30, 4, 2000, 80, 2_000_000
 #: Occurrences that the prefixes of one group hold; it grows where more prefixes than this would exceed it.
 BUDGET, PREFIXES = 1 << 16, 1_000_000
 #: Words counted together in a task, bytes of a piece of a long text, and rows of a batch that leaves it.
-CHUNK, PIECE, ROWS = 1 << 22, 1 << 24, 1 << 17
+CHUNK, PIECE, ROWS = 1 << 21, 1 << 23, 1 << 17
 #: Least and most bits of the bitmap of frequent words or pairs.
 BITS = (1 << 20, 1 << 28)
 
@@ -71,7 +71,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes
 
     def closed() -> Iterator[tuple[str, list[bytes], np.ndarray]]:
         for lang in list(found):
-            ids = np.concatenate([*found.pop(lang), np.zeros(DEPTH, np.int64)])
+            ids = np.concatenate([*found.pop(lang), np.zeros(DEPTH, np.int32)])
             yield lang, list(numbers.pop(lang)), ids
 
     for batch in batches:
@@ -80,7 +80,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes
             for part in _parts(text.as_py()):
                 words = part.replace(b".", b" . ").split()
                 words.append(b".")
-                found.setdefault(lang, []).append(np.fromiter(map(own.__getitem__, words), np.int64, len(words)))
+                found.setdefault(lang, []).append(np.fromiter(map(own.__getitem__, words), np.int32, len(words)))
                 held += len(words)
                 if held >= CHUNK:
                     yield from closed()
@@ -88,15 +88,22 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes
     yield from closed()
 
 
-def _emitted(columns: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
-    batch = pa.RecordBatch.from_pydict(columns)
-    for at in range(0, batch.num_rows, ROWS):
-        yield batch.slice(at, ROWS)
+def _emitted(
+    lang: str, words: list[bytes], columns: list[np.ndarray], counts: np.ndarray, **more: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """Batches of phrases, given as columns of word numbers, with their counts."""
+    known = pa.array(words, pa.binary()).cast(pa.string())
+    for at in range(0, len(counts), ROWS):
+        part = slice(at, at + ROWS)
+        phrase = _phrases(known, [c[part] for c in columns])
+        yield pa.RecordBatch.from_pydict({
+            "lang": pa.array([lang] * len(phrase), pa.string()), "phrase": phrase,
+            **{name: values[part] for name, values in more.items()}, "f": counts[part],
+        })
 
 
-def _phrases(words: list[bytes], columns: list[np.ndarray]) -> pa.Array:
+def _phrases(known: pa.Array, columns: list[np.ndarray]) -> pa.Array:
     """The words of some columns of numbers, space-joined; 0 ends a phrase."""
-    known = pa.array(words, pa.binary()).cast(pa.string())
     joined = known.take(columns[0])
     for column in columns[1:]:
         longer = pc.binary_join_element_wise(joined, known.take(column), " ")
@@ -152,7 +159,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words, ids in _chunks(batches):
             counts = np.bincount(ids, minlength=len(words))
-            yield from _emitted({"lang": pa.array([lang] * (len(words) - 1), pa.string()), "phrase": _phrases(words, [np.arange(1, len(words))]), "f": counts[1:]})
+            yield from _emitted(lang, words, [np.arange(1, len(words))], counts[1:])
 
     return _totals(texts, run)
 
@@ -168,12 +175,19 @@ def _pairs_within(bitmap: np.ndarray, lang: str, words: list[bytes], ids: np.nda
 
 def _distinct(ids: np.ndarray, at: np.ndarray, lengths: np.ndarray, width: int) -> tuple[list[np.ndarray], np.ndarray]:
     """The distinct rows of ``width`` numbers from each position on, 0 beyond its length, and their counts."""
-    code, base = ids[at], int(ids.max(initial=0)) + 1
+    codes, base, steps = ids[at].astype(np.int64), int(ids.max(initial=0)) + 1, []
     for k in range(1, width):
-        step = np.where(lengths > k, ids[at + k], 0)
-        code = np.unique(code * base + step, return_inverse=True)[1] if k < width - 1 else code * base + step
-    _, first, counts = np.unique(code, return_index=True, return_counts=True)
-    return [np.where(lengths[first] > k, ids[at[first] + k], 0) for k in range(width)], counts
+        codes *= base
+        codes += np.where(lengths > k, ids[at + k], 0)
+        if k < width - 1:
+            values, codes = np.unique(codes, return_inverse=True)
+            steps.append(values)
+    codes, counts = np.unique(codes, return_counts=True)
+    columns = [codes % base]
+    for values in reversed(steps):
+        codes = values[codes // base]
+        columns.append(codes % base)
+    return [codes // base, *columns[::-1]], counts
 
 
 def pair_counts(texts: DataFrame, words_held: Broadcast) -> DataFrame:
@@ -185,7 +199,7 @@ def pair_counts(texts: DataFrame, words_held: Broadcast) -> DataFrame:
             known[0] = False
             at = np.flatnonzero(known[ids[:-1]] & known[ids[1:]])
             columns, counts = _distinct(ids, at, np.full(len(at), 2), 2)
-            yield from _emitted({"lang": pa.array([lang] * len(counts), pa.string()), "phrase": _phrases(words, columns), "f": counts})
+            yield from _emitted(lang, words, columns, counts)
 
     return _totals(texts, run)
 
@@ -212,7 +226,7 @@ def extended_counts(texts: DataFrame, pairs_held: Broadcast, over: Broadcast, le
             columns, counts = _distinct(ids, at, np.full(len(at), level), level)
             keep = _heads(lang, words, columns, over.value) >= level
             columns, counts = [c[keep] for c in columns], counts[keep]
-            yield from _emitted({"lang": pa.array([lang] * len(counts), pa.string()), "phrase": _phrases(words, columns), "f": counts})
+            yield from _emitted(lang, words, columns, counts)
 
     return _totals(texts, run)
 
@@ -235,10 +249,7 @@ def suffixes(texts: DataFrame, pairs_held: Broadcast, over: Broadcast) -> DataFr
             heads = _heads(lang, words, columns, over.value)
             keep = sum((c > 0).astype(np.int32) for c in columns) >= heads
             columns, counts, heads = [c[keep] for c in columns], counts[keep], heads[keep]
-            yield from _emitted({
-                "lang": pa.array([lang] * len(counts), pa.string()), "phrase": _phrases(words, columns),
-                "head": heads, "f": counts,
-            })
+            yield from _emitted(lang, words, columns, counts, head=heads)
 
     return _totals(texts, run, "lang string, phrase string, head int, f long")
 
