@@ -34,7 +34,9 @@ LEAST, DEPTH, TOP, SHARE, SCALE = 30, 4, 2000, 80, 2_000_000
 #: Occurrences that the prefixes of one group hold; it grows where more prefixes than this would exceed it.
 BUDGET, PREFIXES = 1 << 16, 1_000_000
 #: Words counted together in a task, bytes of a piece of a long text, and rows of a batch that leaves it.
-CHUNK, PIECE, ROWS = 1 << 21, 1 << 23, 1 << 17
+CHUNK, PIECE, ROWS = 1 << 20, 1 << 23, 1 << 15
+#: Parts of a language that are ranked on their own before the whole.
+SHARES = 64
 #: Least and most bits of the bitmap of frequent words or pairs.
 BITS = (1 << 20, 1 << 28)
 
@@ -385,9 +387,11 @@ def collocations(
     largest = inside.groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     absorbed = F.coalesce(_exact(F.col("longer")) * 100 >= _exact(F.col("a")) * share, F.lit(False))
     kept = lowest.join(largest, ["lang", "phrase"], "left").where(~absorbed)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
-    ranked = ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = (F.desc("score"), F.desc("a"), F.asc("phrase"))
+    shares = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(SHARES))).orderBy(*order)
+    ranked = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score").withColumn("rank", F.row_number().over(shares))
+    ranked = ranked.where(F.col("rank") <= top)  # at most ``SHARES * top`` rows of a language are ranked in one task
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.join(sizes, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )
