@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulselake.llm import collocation, conversations, decontaminate, embedding_dedup, language, main_text, mixing, ppm, quality, simhash, token_output, toxicity
+from pulselake.llm import collocation, conversations, decontaminate, embedding_dedup, language, main_text, mixing, pii, ppm, quality, simhash, token_output, toxicity
 from pulselake.llm.common import table
 
 
@@ -71,6 +71,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.report(conversations.damaged(table(spark, sf_dir, "conversations")), F.col("lost"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of all whole texts: base spans, and those that the weakly supervised classifier adds."""
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2,000 phrases of each language whose words keep together, over all whole texts."""
     return collocation.collocations(table(spark, sf_dir, "documents"))
@@ -88,6 +93,7 @@ QUERIES = {
     "op9_main_text": op9_main_text,
     "op10_quality": op10_quality,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_personal_data": op12_personal_data,
     "op13_collocations": op13_collocations,
 }
 
