@@ -34,7 +34,7 @@ LEAST, DEPTH, TOP, SHARE, SCALE = 30, 4, 2000, 80, 2_000_000
 #: Occurrences that the prefixes of one group hold; it grows where more prefixes than this would exceed it.
 BUDGET, PREFIXES = 1 << 16, 1_000_000
 #: Words counted together in a task, bytes of a piece of a long text, and rows of a batch that leaves it.
-CHUNK, PIECE, ROWS = 1 << 20, 1 << 23, 1 << 15
+CHUNK, PIECE, ROWS = 3 << 19, 1 << 23, 1 << 15
 #: Parts of a language that are ranked on their own before the whole.
 SHARES = 64
 #: Least and most bits of the bitmap of frequent words or pairs.
@@ -207,32 +207,14 @@ def pair_counts(texts: DataFrame, words_held: Broadcast) -> DataFrame:
 
 
 def _heads(lang: str, words: list[bytes], columns: list[np.ndarray], over: dict[int, dict[str, set[bytes]]]) -> np.ndarray:
-    """How many words the prefix of each row has: up to the first that is not above the budget."""
-    single = over.get(1, {}).get(lang, set())
+    """How many words the prefix of each row has: up to the first prefix that is not above the budget."""
+    single, pairs = (over[level].get(lang, set()) for level in (1, 2))
     heads = 1 + np.fromiter((w in single for w in words), bool, len(words))[columns[0]].astype(np.int32)
-    for level in range(2, DEPTH):
-        large = over.get(level, {}).get(lang)
-        rows = np.flatnonzero((heads == level) & (columns[level - 1] > 0)) if large and len(columns) >= level else ()
-        for row in rows:
-            heads[row] += b" ".join(words[c[row]] for c in columns[:level]) in large
+    for row in np.flatnonzero(heads == 2) if pairs else ():
+        heads[row] += words[columns[0][row]] + b" " + words[columns[1][row]] in pairs
     return heads
 
 
-def extended_counts(texts: DataFrame, pairs_held: Broadcast, over: Broadcast, level: int) -> DataFrame:
-    """Counts of the prefixes of ``level`` words whose beginnings are all above the budget."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, words, ids in _chunks(batches):
-            held = _pairs_within(pairs_held.value, lang, words, ids)
-            at = np.flatnonzero(np.logical_and.reduce([np.roll(held, -k) for k in range(level - 1)]))
-            columns, counts = _distinct(ids, at, np.full(len(at), level), level)
-            keep = _heads(lang, words, columns, over.value) >= level
-            columns, counts = [c[keep] for c in columns], counts[keep]
-            yield from _emitted(lang, words, columns, counts)
-
-    return _totals(texts, run)
-
-
 def suffixes(texts: DataFrame, pairs_held: Broadcast, over: Broadcast) -> DataFrame:
     """Distinct suffixes of two to four words with counts ``f``, cut at the first pair the bitmap lacks.
 
@@ -334,26 +316,19 @@ def phrase_counts(
     levels[2] = stored(pair_counts(texts, words_held).where(F.col("f") >= least), "pairs")
     pairs_held = spark.sparkContext.broadcast(_bitmap(levels[2], 2))
     over = {level: _collected(counts, budget) for level, counts in levels.items()}
-    for level in range(3, DEPTH):
-        if not over[level - 1]:
-            break
-        counted = extended_counts(texts, pairs_held, spark.sparkContext.broadcast(over), level)
-        levels[level] = stored(counted.where(F.col("f") >= least), "prefix-counts")
-        over[level] = _collected(levels[level], budget)
-    found = suffixes(texts, pairs_held, spark.sparkContext.broadcast(over))
-    if over.get(DEPTH - 1):  # read twice below
+    found = suffixes(texts, pairs_held, spark.sparkContext.broadcast(over)).withColumn("prefix", F.expr("substring_index(phrase, ' ', head)"))
+    whole = levels[1].union(levels[2].where(F.col("f") > budget))
+    if over[2]:  # prefixes of three words are counted on the suffixes, which hold their occurrences summed up
         found = stored(found, "suffixes")
-    found = found.withColumn("prefix", F.expr("substring_index(phrase, ' ', head)"))
-    grown = (
-        found.join(_packed(levels, budget), ["lang", "prefix"]).groupBy("group")
-        .applyInArrow(lambda rows: subtree(rows, least), COUNTS)
-    )
-    whole = levels[1].union(grown)
-    if over.get(DEPTH - 1):  # a prefix of full depth is a leaf
-        whole = whole.union(found.where((F.col("head") == DEPTH) & (F.col("f") >= least)).select("lang", "phrase", "f"))
-    for level in range(2, DEPTH):
-        if over.get(level):
-            whole = whole.union(levels[level].where(F.col("f") > budget))
+        deep = found.where("head = 3")
+        counted = deep.groupBy("lang", "prefix").agg(F.sum("f").alias("f")).select("lang", F.col("prefix").alias("phrase"), "f")
+        levels[3] = stored(counted.where(F.col("f") >= least), "prefix-counts")
+        large = levels[3].where(F.col("f") > budget)
+        leaves = deep.where((F.size(F.split("phrase", " ", -1)) == DEPTH) & (F.col("f") >= least))  # a suffix of full depth is a leaf
+        leaves = leaves.join(large.select("lang", F.col("phrase").alias("prefix")), ["lang", "prefix"], "left_semi")
+        whole = whole.union(large).union(leaves.select("lang", "phrase", "f"))
+    grown = found.join(_packed(levels, budget), ["lang", "prefix"]).groupBy("group").applyInArrow(lambda rows: subtree(rows, least), COUNTS)
+    whole = whole.union(grown)
     return stored(whole, "phrases"), sizes
 
 
