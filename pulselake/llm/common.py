@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +43,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """Each row as one value ``row``, so that no column can clash, beside its ``place``, which no scan changes.
+
+    Rows read straight from files are named by file and position. Any other rows are stored once with
+    their number: numbers given while a table is scanned differ from scan to scan when its splits do,
+    as they may when executors come or go.
+    """
+    where = ("_metadata.file_path", "_metadata.row_index")
+    try:
+        if "_metadata" in docs.columns:
+            raise AnalysisException("a column of that name")
+        return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.struct(*where).alias("place"))
+    except AnalysisException:
+        numbered = docs.select(F.struct("*").alias("row"), F.struct(F.monotonically_increasing_id()).alias("place"))
+        return stored(numbered, "rows")
+
+
 def remainder(ident: Column, parts: int) -> Column:
     """``crc32(id as text) mod parts``, the split between learning and held-out rows."""
     return F.crc32(ident.cast("string").cast("binary")) % parts

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulselake.llm.common import LOWER, UPPER, lower_ascii, stored
+from pulselake.llm.common import LOWER, UPPER, keyed, lower_ascii, stored
 
 WINDOW = 10
 #: Distinct benchmark windows up to which their hash set is broadcast.
@@ -48,21 +48,21 @@ def _starts(size: int, passes: str = "") -> str:
 
 
 def marked(
-    docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, broadcast: int = BROADCAST,
+    docs: DataFrame, benchmark: DataFrame, text: Column, place: Column, window: int = WINDOW, broadcast: int = BROADCAST,
     ident: Column | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: its ``place``, ``n_words``, verified ``hits`` (start and size) and ``items``,
     with the column ``ident`` if one is asked for.
 
-    ``place`` is ``monotonically_increasing_id()``, which numbers the rows of a stored table alike
-    in every scan.
+    ``place`` tells rows apart. Whoever joins on it needs one that is the same in every scan, as
+    ``keyed`` gives it.
     """
     windows = stored(benchmark_windows(benchmark, window), "windows")
     sizes = [r["size"] for r in windows.select("size").distinct().orderBy("size").collect()]  # 1 to ``window``
     few = windows.limit(broadcast + 1).count() <= broadcast
     named = [] if ident is None else [ident.alias("ident")]
     own = ["place", *(["ident"] if named else []), "n_words"]
-    split = docs.select(F.monotonically_increasing_id().alias("place"), *named, words(F.col(text)).alias("words"))
+    split = docs.select(place.alias("place"), *named, words(text).alias("words"))
     candidates = []
     for size in sizes:
         passes = ""
@@ -90,7 +90,7 @@ def covered(hits: Column) -> Column:
 
 def report(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Per document: ``n_words``, ``n_hit``, ``n_items``, ``items_sha256`` and ``contaminated``."""
-    found = marked(docs, benchmark, text, ident=F.col(ident), **options)
+    found = marked(docs, benchmark, F.col(text), F.monotonically_increasing_id(), ident=F.col(ident), **options)
     return found.select(
         F.col("ident").alias("doc_id"), F.col("n_words").cast("long").alias("n_words"), covered(F.col("hits")).alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
@@ -101,19 +101,20 @@ def report(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id", text: s
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows without any hit, all columns kept."""
-    dirty = marked(docs, benchmark, text, **options).where("size(hits) > 0").select("place")
-    return _nested(docs).join(dirty, "place", "left_anti").select("row.*")
+    rows = keyed(docs)
+    dirty = _dirty(rows, benchmark, text, **options).select("place")
+    return rows.join(dirty, "place", "left_anti").select("row.*")
 
 
-def _nested(docs: DataFrame) -> DataFrame:
-    """Each row as one value, so that no column can clash, beside its ``place``."""
-    return docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("place"))
+def _dirty(rows: DataFrame, benchmark: DataFrame, text: str, **options) -> DataFrame:
+    """``place`` and ``hits`` of the rows with hits."""
+    return marked(rows, benchmark, F.col("row")[text], F.col("place"), **options).where("size(hits) > 0").select("place", "hits")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """All rows and columns; where a text has hits, its lower-cased words outside them, space-joined, replace it."""
-    dirty = marked(docs, benchmark, text, **options).where("size(hits) > 0").select("place", "hits")
-    joined = _nested(docs).join(dirty, "place", "left").withColumn("old", F.col("row")[text])
+    rows = keyed(docs)
+    joined = rows.join(_dirty(rows, benchmark, text, **options), "place", "left").withColumn("old", F.col("row")[text])
     inside = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["start"], h["start"] + h["size"] - 1))))
     split = joined.withColumns({"words": F.when(F.col("hits").isNotNull(), words(F.col("old"))), "inside": inside})
     rest = F.filter("words", lambda w, i: ~F.array_contains("inside", i + 1))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from pulselake.llm.common import stored
+from pulselake.llm.common import keyed, stored
 from pulselake.llm.components import connected_components
 
 SEED, SHINGLE, DISTANCE = 42, 3, 2
@@ -58,9 +58,9 @@ def _fingerprints(texts: pd.Series) -> pd.Series:
     return pd.Series([fingerprint_of(t) for t in texts], dtype="int64")
 
 
-def fingerprint(text: str) -> Column:
+def fingerprint(text: Column) -> Column:
     """The fingerprint of a text column, as a signed long."""
-    return _fingerprints(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    return _fingerprints(F.coalesce(text, F.lit("")).cast("binary"))
 
 
 def fingerprint_links(prints: DataFrame, paired: int = PAIRED) -> DataFrame:
@@ -96,7 +96,7 @@ def components_of(prints: DataFrame, paired: int = PAIRED) -> DataFrame:
 
 def near_copies(docs: DataFrame, ident: str = "doc_id", text: str = "text", paired: int = PAIRED) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hexadecimal digits) and ``component_id`` of every row."""
-    prints = stored(docs.select(F.col(ident).cast("long").alias("node"), fingerprint(text).alias("print")), "prints")
+    prints = stored(docs.select(F.col(ident).cast("long").alias("node"), fingerprint(F.col(text)).alias("print")), "prints")
     joined = prints.join(components_of(prints, paired), "print")
     return joined.select(
         F.col("node").alias("doc_id"), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
@@ -106,12 +106,11 @@ def near_copies(docs: DataFrame, ident: str = "doc_id", text: str = "text", pair
 
 def drop_near_copies(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of the row of smallest id in each group of near copies; of equal rows, one."""
-    place = F.monotonically_increasing_id()  # the same in both scans of a stored table
-    rows = docs.select(F.col(ident).cast("long").alias("ident"), place.alias("place"), fingerprint(text).alias("print"))
-    prints = stored(rows, "prints")
+    rows = keyed(docs)
+    own = rows.select(F.col("row")[ident].cast("long").alias("ident"), "place", fingerprint(F.col("row")[text]).alias("print"))
+    prints = stored(own, "prints")
     groups = prints.join(components_of(prints.select(F.col("ident").alias("node"), "print")), "print")
     first = F.min(F.struct(F.col("ident").isNull().alias("unknown"), "ident", "place")).alias("first")
     alone = F.when(F.col("component").isNull(), F.col("print"))  # null ids have no group beyond their fingerprint
     kept = groups.groupBy("component", alone.alias("alone")).agg(first).select("first.place")
-    nested = docs.select(F.struct("*").alias("row"), place.alias("place"))  # so that no column can clash
-    return nested.join(kept, "place", "left_semi").select("row.*")
+    return rows.join(kept, "place", "left_semi").select("row.*")
