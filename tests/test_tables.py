@@ -182,7 +182,7 @@ def test_one_failing_type_does_not_stop_the_run(spark, folder, monkeypatch):
         batch = record(spark, t, [{}])
         tables.write_bronze(batch.withColumns(date_parts(F.col("timestamp").try_cast("timestamp"))), f"{folder}/bronze/{t}")
     real = runs.judge
-    monkeypatch.setattr(runs, "judge", lambda b, t, r: real(b, t, r) if t != "sleep_log" else 1 / 0)
+    monkeypatch.setattr(runs, "judge", lambda b, t, r, *more: real(b, t, r, *more) if t != "sleep_log" else 1 / 0)
     found = {}
     for t in ("sleep_log", "workout_log", "user_profile"):
         found[t] = runs.run_silver(spark, f"{folder}/bronze/{t}", f"{folder}/silver", {}, [t])[0]["status"]
