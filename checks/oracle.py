@@ -434,6 +434,40 @@ ORACLE: dict[str, str] = {
 }
 
 
+ORACLE |= {
+    "q_merge_buckets": ORACLE["q_merge_upsert"],
+    "q_gold_incremental": ORACLE["q_gold_fatigue"],
+    "q_gold_incremental_consistency": ORACLE["q_gold_consistency"],
+    "q_gold_incremental_community": ORACLE["q_gold_community"],
+    "q_bronze_fold": ORACLE["q_bronze_write"],
+    "q_workload_ratio": f"""select user_id, cast(d as varchar) as "date", cast(acute as bigint) as acute_load, cast(chronic as bigint) as chronic_load,
+        {rnd('case when chronic > 0 then acute / (cast(chronic as double) / 4) end')} as workload_ratio from (
+        select user_id, d, sum(load) over (partition by user_id order by n range between 6 preceding and current row) as acute,
+               sum(load) over (partition by user_id order by n range between 27 preceding and current row) as chronic
+        from (select user_id, "date" as d, datediff('day', date '1970-01-01', "date") as n, sum(coalesce(duration_minutes * rpe, 0)) as load
+              from sv_workout group by 1, 2, 3))""",
+    "q_hrv_baseline": f"""select user_id, cast(d as varchar) as "date", {rnd('hrv')} as hrv, cast(coalesce(bn, 0) as bigint) as baseline_readings,
+        {rnd('bs / bn')} as baseline_hrv, {rnd('case when bn > 1 then dev end')} as baseline_deviation,
+        {rnd('case when bn > 1 and dev > 1e-6 then (hrv - bs / bn) / dev end')} as hrv_z from (
+        select *, sqrt(greatest((bq - bs * (bs / bn)) / nullif(bn - 1, 0), 0.0)) as dev from (
+        select user_id, d, s / nullif(c, 0) as hrv,
+               sum(c) over w as bn, sum(s) over w as bs, sum(q) over w as bq
+        from (select user_id, "date" as d, datediff('day', date '1970-01-01', "date") as n, count(hrv) as c, sum(hrv) as s, sum(hrv * hrv) as q
+              from sv_wearable group by 1, 2, 3)
+        window w as (partition by user_id order by n range between 28 preceding and 1 preceding)))""",
+    "q_session_calories": f"""select w.user_id, cast(w."timestamp" as varchar) as "timestamp", w.workout_type, w.duration_minutes, c.met_value,
+        {rnd('c.met_value * p.weight_kg * (cast(w.duration_minutes as double) / 60)')} as calories
+        from sv_workout w left join fx_catalog c using (workout_type)
+        left join (select user_id, weight_kg from (select *, row_number() over (partition by user_id order by "timestamp" desc, weight_kg nulls first) as rn
+                   from sv_profile) where rn = 1) p on p.user_id = w.user_id""",
+    "q_unprofiled_rate": f"""select * from (with a as (select distinct "date" as d, user_id from sv_wearable where "date" is not null and user_id is not null),
+        r as (select d, count(*) as users, count(*) filter (where user_id not in (select user_id from sv_profile)) as unprofiled from a group by 1),
+        t as (select *, {rnd('cast(unprofiled as double) / users * 100')} as pct from r),
+        h as (select count(pct) as n, sum(pct) / count(pct) as m, stddev_samp(pct) as dev from t where d <= date '2024-01-20')
+        select cast(d as varchar) as "date", users, unprofiled, pct as pct_unprofiled, {rnd('m')} as past_mean, {rnd('dev')} as past_deviation,
+               coalesce(n >= 7 and pct > m + 3 * dev, false) as alert from t, h where d > date '2024-01-20')""",
+}
+
 def statement(body: str) -> str:
     """The query with just the views it needs, directly or indirectly, as common table expressions."""
     needed: set[str] = set()

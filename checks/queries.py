@@ -12,9 +12,9 @@ from pulselake import schemas
 from pulselake.functions import scoring, texts
 from pulselake.functions.codec import decode_records, opened
 from pulselake.functions.numbers import round_half_up
-from pulselake.operators import audit, enrich, expectations, keys, quality, temporal, upsert
+from pulselake.operators import audit, buckets, enrich, expectations, keys, quality, temporal, upsert
 from pulselake.operators.calendar import date_dimension
-from pulselake.plans import gold, runs, star, suite
+from pulselake.plans import gold, incremental, rolling, runs, star, suite
 from pulselake.session import configure, side_by_side, workspace
 from pulselake.sources import tables
 from pulselake.streaming import ingest
@@ -290,6 +290,16 @@ def q_merge_upsert(spark, sf_dir):
     return spark.table(name)
 
 
+@query
+def q_merge_buckets(spark, sf_dir):
+    """The same merge on a table of key buckets, of which only the touched ones are rewritten."""
+    first, second = _profile_loads(spark, sf_dir)
+    root = workspace(spark, "buckets")
+    buckets.upsert_buckets(first, root, by="timestamp", buckets=16)
+    buckets.upsert_buckets(second.select(*PROFILE_STATE), root, by="timestamp")
+    return buckets.read_buckets(spark, root)
+
+
 @query
 def q_merge_schema_evolution(spark, sf_dir):
     first, second = _profile_loads(spark, sf_dir)
@@ -803,6 +813,84 @@ def q_gold_summary(spark, sf_dir):
         "table_name string, status string, n_rows bigint")
 
 
+LATE = "(day > date'2024-01-20' or (day = date'2024-01-10' and id % 3 = 0))"
+
+
+def _refreshed(spark, sf_dir):
+    """Gold after two incremental runs, the second with new days and with late rows of an old one."""
+    bronze, silver_root, root = (workspace(spark, n) for n in ("bronze", "silver", "gold"))
+    records = fx.records(spark, sf_dir)
+    parts = texts.date_parts(F.col("timestamp").try_cast("timestamp"))
+    refs = fx.references(spark, sf_dir)
+    for batch, condition in (("1", f"not {LATE}"), ("2", LATE)):
+        tables.write_bronze(records.filter(condition).drop("id", "day").withColumns(parts), bronze, "source", batch)
+        incremental.refresh(spark, bronze, silver_root, root, refs)
+    return root
+
+
+@query
+def q_gold_incremental(spark, sf_dir):
+    fatigue = spark.read.parquet(f"{_refreshed(spark, sf_dir)}/gold_fatigue_recovery")
+    return rounded(fatigue, "recovery_score", "stress_score", "hrv", "total_sleep_hours", "sleep_debt_hours")
+
+
+@query
+def q_gold_incremental_consistency(spark, sf_dir):
+    return spark.read.parquet(f"{_refreshed(spark, sf_dir)}/gold_workout_consistency")
+
+
+@query
+def q_gold_incremental_community(spark, sf_dir):
+    return spark.read.parquet(f"{_refreshed(spark, sf_dir)}/gold_community_analytics")
+
+
+@query
+def q_bronze_fold(spark, sf_dir):
+    """Bronze of all types in many batches, folded day by day, with a writer taken back."""
+    root = workspace(spark, "fold")
+    parts = texts.date_parts(F.col("timestamp").try_cast("timestamp"))
+    rows = fx.records(spark, sf_dir)
+    for writer, batch in (("a", 0), ("a", 1), ("a", 2), ("mistake", 0)):
+        part = rows.filter(f"id % 3 = {batch}").drop("id", "day").withColumns(parts)
+        tables.write_bronze(part, root, writer, str(batch))
+    tables.retire_writer(spark, root, "mistake")
+    side_by_side(lambda t: tables.fold_bronze(spark, root, t), schemas.RECORD_TYPES)
+    kept = tables.read_many([tables.read_bronze(spark, root, t).select(*tables.BRONZE_PARTITIONS) for t in schemas.RECORD_TYPES])
+    return kept.groupBy(*tables.BRONZE_PARTITIONS).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# --- measures over days -----------------------------------------------------------------------
+
+@query
+def q_workload_ratio(spark, sf_dir):
+    return rolling.workload_ratio(silver(spark, sf_dir, "workout_log"))
+
+
+@query
+def q_hrv_baseline(spark, sf_dir):
+    return rolling.hrv_baseline(silver(spark, sf_dir, "wearable_event"))
+
+
+@query
+def q_session_calories(spark, sf_dir):
+    latest = keys.latest_per_key(silver(spark, sf_dir, "user_profile").select("user_id", "timestamp", "weight_kg"))
+    sessions = silver_enriched(spark, sf_dir, "workout_log")
+    return rolling.session_calories(sessions, latest).select(
+        "user_id", "timestamp", "workout_type", "duration_minutes", "met_value", "calories")
+
+
+@query
+def q_unprofiled_rate(spark, sf_dir):
+    daily = rolling.unprofiled_rate(silver(spark, sf_dir, "wearable_event"), silver(spark, sf_dir, "user_profile"))
+    log = workspace(spark, "unprofiled")
+    for run, condition in (("first", FIRST_DROP), ("second", SECOND_DROP)):
+        days = daily.filter(condition.replace("day", "date", 1))
+        if run == "second":
+            days = rolling.against_history(days, spark.read.parquet(log))
+        tables.append_audit(days, log, run)
+    return spark.read.option("mergeSchema", True).parquet(log).filter("run_id = 'second'").drop("run_id")
+
+
 # --- streaming --------------------------------------------------------------------------------
 
 @query

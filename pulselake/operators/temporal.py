@@ -129,3 +129,39 @@ def point_in_time_join(
         (F.col("user_id") == F.col("_user_id")) & (at >= F.col("_start")) & (at < F.col("_end")),
         "left" if keep_unmatched else "inner",
     ).drop("_user_id", "_start", "_end")
+
+
+def as_of_join(
+    facts: DataFrame, versions: DataFrame, keep_unmatched: bool = False, period: str = "month"
+) -> DataFrame:
+    """As ``point_in_time_join`` for versions of a user that do not overlap, in linear time.
+
+    Facts and versions form one stream per user and period in order of time, through which the last
+    version is carried; each period starts with the last version of the periods before. So rows
+    that meet are never multiplied, and a user with a long history is sorted period by period.
+    """
+    taken = [c for c in versions.columns if c != "user_id"]
+    stream = facts.select(
+        "user_id", F.col("event_date").cast("timestamp").alias("_at"), F.struct(*facts.columns).alias("_fact"),
+        F.lit(None).cast(versions.select(F.struct(*taken).alias("v")).schema["v"].dataType).alias("_version"),
+    )
+    known = versions.filter(F.col("user_id").isNotNull()).select(
+        "user_id", F.col("effective_date_for_join").alias("_at"),
+        F.lit(None).cast(stream.schema["_fact"].dataType).alias("_fact"), F.struct(*taken).alias("_version"),
+    )
+    placed = stream.union(known).withColumn("_period", F.date_trunc(period, "_at")).repartition("user_id", "_period")
+    inside = Window.partitionBy("user_id", "_period").orderBy("_at", F.col("_fact").isNotNull()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    before = Window.partitionBy("_user").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    ends = placed.groupBy(F.col("user_id").alias("_user"), F.col("_period").alias("_start")).agg(
+        F.max_by("_version", F.when(F.col("_version").isNotNull(), F.col("_at"))).alias("_last")
+    )
+    carried = ends.select("_user", "_start", F.last("_last", ignorenulls=True).over(before).alias("_carried"))
+    found = placed.withColumn("_here", F.last("_version", ignorenulls=True).over(inside)).filter(F.col("_fact").isNotNull())
+    joined = found.join(carried, (F.col("user_id") == F.col("_user")) & (F.col("_period") == F.col("_start")), "left")
+    version = F.coalesce("_here", "_carried")
+    at = F.col("_at")
+    valid = version.isNotNull() & (at < F.coalesce(version["end_date"], F.lit(OPEN_END).cast("timestamp")))
+    out = joined if keep_unmatched else joined.filter(valid)
+    return out.select("_fact.*", *[F.when(valid, version[c]).alias(c) for c in taken])

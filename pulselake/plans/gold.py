@@ -98,29 +98,35 @@ def muscle_counts(workout: DataFrame) -> DataFrame:
     )
 
 
-def workout_consistency(workout: DataFrame) -> DataFrame:
-    """One row per user: totals, averages and a nested count per muscle group.
+SESSION_SUMS = ("n", "done", "rpe", "n_rpe", "minutes", "n_minutes", "load")
+
+
+def session_sums(workout: DataFrame, *more: str) -> DataFrame:
+    """Sums per user and muscle group, and per ``more`` columns, that can be added up further.
 
     Each session yields one row per muscle group plus one without a group that carries the
-    session itself, so totals and the breakdown come out of a single pass over the sessions. The
-    sums are reduced map-side per (user, group) before the small per-user step.
+    session itself, so totals and the breakdown come out of a single pass over the sessions.
     """
     groups = F.coalesce(parse_groups(F.col("muscle_groups")), F.array().cast("array<string>"))
     sessions = workout.select(
-        "user_id",
+        "user_id", *more,
         F.col("completed").cast("int").alias("done"),
         F.col("rpe").cast("bigint").alias("rpe"),
         F.col("duration_minutes").cast("bigint").alias("minutes"),
         session_load().alias("load"),
         F.explode(F.concat(F.array(F.lit(None).cast("string")), groups)).alias("muscle_group"),
     )
-    per_group = sessions.groupBy("user_id", "muscle_group").agg(
+    return sessions.groupBy("user_id", "muscle_group", *more).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("done").alias("done"),
         F.sum("rpe").alias("rpe"), F.count("rpe").alias("n_rpe"),
         F.sum("minutes").alias("minutes"), F.count("minutes").alias("n_minutes"),
         F.sum("load").alias("load"),
     )
+
+
+def consistency_of(per_group: DataFrame) -> DataFrame:
+    """One row per user from the sums per user and muscle group."""
     whole = F.col("muscle_group").isNull()
 
     def total(name: str) -> Column:
@@ -151,6 +157,14 @@ def workout_consistency(workout: DataFrame) -> DataFrame:
     )
 
 
+def workout_consistency(workout: DataFrame) -> DataFrame:
+    """One row per user: totals, averages and a nested count per muscle group.
+
+    The sums are reduced map-side per (user, group) before the small per-user step.
+    """
+    return consistency_of(session_sums(workout))
+
+
 # Measures that cohort averages are made of, and their types.
 _MEASURES = {
     "recovery": "double", "stress": "double", "hrv": "double", "sleep": "double",
@@ -217,6 +231,22 @@ def user_cohorts(profiles: DataFrame) -> DataFrame:
     return latest_per_key(profiles.select("user_id", "timestamp", *COHORT)).drop("timestamp")
 
 
+def cohort_sums(wearable: DataFrame, sleep: DataFrame, workout: DataFrame, *more: str) -> DataFrame:
+    """Sums and counts of all measures per user, and per ``more`` columns, that can be added up further."""
+    keys = ("user_id", *more)
+    stacked = (
+        _measured(wearable, keys, _wearable_measures())
+        .union(_measured(sleep, keys, _sleep_measures()))
+        .union(_measured(workout, keys, _workout_measures()))
+    )
+    return _partial_sums(stacked, keys)
+
+
+def cohorts_of(per_user: DataFrame, cohorts: DataFrame) -> DataFrame:
+    """Cohort averages from the sums per user; users without a cohort form ``Unprofiled``."""
+    return _cohort_averages(per_user.join(cohorts, "user_id", "left").fillna(UNPROFILED, list(COHORT)))
+
+
 def community_analytics(
     wearable: DataFrame, sleep: DataFrame, workout: DataFrame, profiles: DataFrame
 ) -> DataFrame:
@@ -226,18 +256,7 @@ def community_analytics(
     (partial sums map-side, one exchange); the lookup joins those rows, not the events, and the
     distinct user count becomes a plain count.
     """
-    by_user = ("user_id",)
-    stacked = (
-        _measured(wearable, by_user, _wearable_measures())
-        .union(_measured(sleep, by_user, _sleep_measures()))
-        .union(_measured(workout, by_user, _workout_measures()))
-    )
-    labelled = (
-        _partial_sums(stacked, by_user)
-        .join(user_cohorts(profiles), "user_id", "left")
-        .fillna(UNPROFILED, list(COHORT))
-    )
-    return _cohort_averages(labelled)
+    return cohorts_of(cohort_sums(wearable, sleep, workout), user_cohorts(profiles))
 
 
 def community_analytics_by_event(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pulselake import schemas
 from pulselake.functions import scoring
 from pulselake.operators.keys import with_surrogate_key
-from pulselake.operators.temporal import build_dim_user, point_in_time_join, stage_dim_user
+from pulselake.operators.temporal import as_of_join, build_dim_user, stage_dim_user
 from pulselake.session import side_by_side
 from pulselake.sources.tables import store
 
@@ -49,7 +49,7 @@ def mart_user_health_score(
     Days of users without any profile are left out unless ``keep_unmatched``, which keeps them
     with a neutral modifier.
     """
-    joined = point_in_time_join(fatigue, staged_users, keep_unmatched)
+    joined = as_of_join(fatigue, staged_users, keep_unmatched)
     measures = [c for c in schemas.STAR["fact_fatigue_recovery"].names
                 if c not in ("fact_id", "user_id", "event_date")]
     return joined.select(

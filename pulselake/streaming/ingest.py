@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,7 +14,7 @@ from pulselake import schemas
 from pulselake.functions.codec import MESSAGE, decode_records, opened
 from pulselake.functions.texts import date_parts
 from pulselake.operators.keys import deduplicate
-from pulselake.sources.tables import OWN_KEY, append_new_rows, write_bronze
+from pulselake.sources.tables import OWN_KEY, append_new_rows, bronze_partitions, write_bronze
 
 REJECTED = "rejected"
 
@@ -56,19 +56,29 @@ def drain(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
+def writer_of(query: StreamingQuery) -> str:
+    """The name under which a query writes to Bronze, the same in every run from its checkpoint."""
+    return str(query.id)
+
+
 def append_stream(rows: DataFrame, bronze: str, checkpoint: str) -> StreamingQuery:
     """Append what is new since the last run of this checkpoint to partitioned Bronze, then stop.
 
-    Each micro-batch is a set of partitions named after the checkpoint and the batch's number, which
-    a repeated batch overwrites: every batch counts once, and any number of streams and batch loads
-    share one root. The rows of each batch are counted on the writing job; see ``progress``.
+    Each micro-batch is a set of partitions named after the query's own id, which its checkpoint keeps,
+    and the batch's number. A repeated batch overwrites them: every batch counts once, and any number
+    of streams and batch loads share one root. A new checkpoint is another query, also at the same
+    path, so a replay never overwrites what was there; ``tables.retire_writer`` takes the replaced
+    rows back. The rows of each batch are counted on the writing job; see ``progress``, and
+    ``totals`` for those of all runs.
     """
-    writer = hashlib.md5(checkpoint.encode()).hexdigest()[:16]
     counted: dict[int, int] = {}
+    started = threading.Event()
+    writer: list[str] = []
 
     def on_batch(batch: DataFrame, number: int) -> None:
+        started.wait()
         seen = Observation()
-        write_bronze(batch.observe(seen, F.count(F.lit(1)).alias("rows")), bronze, writer, f"n{number:012d}")
+        write_bronze(batch.observe(seen, F.count(F.lit(1)).alias("rows")), bronze, writer[0], f"n{number:012d}")
         counted[number] = seen.get["rows"]
 
     query = (
@@ -77,6 +87,8 @@ def append_stream(rows: DataFrame, bronze: str, checkpoint: str) -> StreamingQue
         .trigger(availableNow=True)
         .start()
     )
+    writer.append(writer_of(query))
+    started.set()
     query.counted = counted
     return query
 
@@ -167,3 +179,15 @@ def progress(query: StreamingQuery) -> dict[str, int]:
     """Totals of a finished Bronze query: batches with rows, and rows read."""
     counts = [n for n in query.counted.values() if n]
     return {"n_batches": len(counts), "rows_read": sum(counts)}
+
+
+def totals(spark: SparkSession, bronze: str) -> DataFrame:
+    """Batches with rows and rows held per writer, over all its runs, read from Bronze itself."""
+    live = spark.createDataFrame(
+        [(p, v[4], v[5]) for p, v in bronze_partitions(spark, bronze).items()], "folder string, writer string, batch string"
+    )
+    held = spark.read.parquet(bronze).select(F.regexp_extract(F.col("_metadata.file_path"), "/(record_type=.*)/[^/]*$", 1).alias("folder"))
+    rows = held.groupBy("folder").agg(F.count(F.lit(1)).alias("rows"))
+    return live.join(rows, "folder").groupBy("writer").agg(
+        F.count_distinct("batch").alias("n_batches"), F.sum("rows").alias("rows_held")
+    )
