@@ -263,8 +263,6 @@ def shown(s: str, view: str, extra: str) -> str:
 
 
 ORACLE: dict[str, str] = {
-    "q_scan_bronze": f'select record_type, user_id, "timestamp", {", ".join(BODY["wearable"])}, {PARTS} from fx_wearable',
-    "q_scan_silver": shown("wearable", "en_wearable", 'failure_reason, job_type, fitness_goal, gym_id, cast("date" as varchar) as "date"'),
     "q_reference_csv": "select * from fx_user_profiles",
     "q_stream_incremental": 'select record_type, user_id, "timestamp", true as audited from fx_all',
     "q_stream_demux": "select case when reject_reason is null then record_type else 'rejected' end as record_type, reject_reason, "
@@ -273,7 +271,6 @@ ORACLE: dict[str, str] = {
     "q_silver_write": per_type('select record_type, cast("date" as varchar) as "date", count(*) as n_rows from sv_{s} group by 1, 2'),
     "q_quarantine_write": f'select record_type, user_id, {TS}, failure_reason, cast(cast("timestamp" as date) as varchar) as "date" from all_jd where not is_valid',
     "q_gold_write": f'select * exclude (hrv) replace (cast("date" as varchar) as "date", {", ".join(f"{rnd(c, 6)} as {c}" for c in ("recovery_score", "stress_score", "total_sleep_hours", "sleep_debt_hours"))}) from g_fatigue',
-    "q_append_idempotent": f'select record_type, user_id, {TS}, {", ".join(BODY["sleep"])}, cast("date" as varchar) as "date" from sv_sleep',
     "q_quarantine_audit_log": """select run_id, failure_reason, count(*) as n_rows from jd_profile, (values ('run-1'), ('run-2')) r(run_id)
         where failure_reason is not null group by 1, 2""",
     "q_merge_upsert": """select user_id, cast(case when has_s then s_ts else t_ts end as varchar) as "timestamp",
@@ -308,8 +305,6 @@ ORACLE: dict[str, str] = {
     "q_type_coverage": f"""select user_id, record_type from (select distinct user_id from fx_all),
         (values {', '.join(f"('{t}')" for t in TYPE.values())}) t(record_type) except select user_id, record_type from fx_all""",
     "q_replay_equals_batch": "select record_type, count(*) as n_live, count(*) as n_replayed, cast(0 as bigint) as n_different from bronze_types group by 1",
-    "q_cast_schema": 'select record_type, user_id, cast(try_cast("timestamp" as timestamp) as varchar) as "timestamp", '
-        + ", ".join(f"cast({c} as {CAST.get(c, 'bigint')}) as {c}" if c != "device_type" else c for c in BODY["wearable"]) + " from fx_wearable",
     "q_schema_drift": """select user_id, cast(tsp as varchar) as "timestamp", cast(heart_rate as int) as heart_rate, cast(null as double) as hrv,
         cast(null as double) as recovery_score,
         case when tsp is null then 'bad_key' when coalesce(heart_rate, -1) not between 30 and 220 then 'heart_rate_out_of_range'
@@ -356,8 +351,6 @@ ORACLE: dict[str, str] = {
     "q_table_counts": per_type("select 'bronze_{s}' as table_name, count(*) as n_rows from fx_{s} union all select 'silver_{s}', count(*) from sv_{s}"),
     "q_dedup_removed": """select record_type, count(*) as rows_before, count(distinct user_id || '/' || "timestamp") as rows_after,
         count(*) - count(distinct user_id || '/' || "timestamp") as rows_removed from fx_all group by 1""",
-    "q_dedup_events": f"""select record_type, user_id, "timestamp", {", ".join(BODY["workout"])} from (
-        select *, row_number() over (partition by user_id, "timestamp" order by {nulls_first(BODY["workout"])}) as rn from fx_workout) where rn = 1""",
     "q_latest_profile": f"""select record_type, user_id, {TS}, {", ".join(BODY["profile"])}, failure_reason, cast("date" as varchar) as "date"
         from (select *, row_number() over (partition by user_id order by "timestamp" desc) as rn from sv_profile) where rn = 1""",
     "q_stg_dim_user": """select * replace (cast(effective_date as varchar) as effective_date, cast(end_date as varchar) as end_date,
@@ -368,8 +361,6 @@ ORACLE: dict[str, str] = {
     "q_sample_dim": """select user_id, cast(effective_date as varchar) as effective_date, cast(end_date as varchar) as end_date, is_current
         from (select * from dim_user order by user_id, effective_date limit 5)""",
     "q_sample_fact": "select user_id, cast(event_date as varchar) as event_date from (select * from f_fatigue order by user_id, event_date limit 5)",
-    "q_audit_union": f"""select user_id, {TS}, total_sleep_hours, failure_reason, job_type, fitness_goal, gym_id from en_sleep
-        union all select user_id, {TS}, total_sleep_hours, failure_reason, null, null, null from jd_sleep where failure_reason is not null""",
     "q_user_bmi": f"""select *, case when bmi < 18.5 then 'underweight' when bmi < 25 then 'normal' when bmi < 30 then 'overweight'
         when bmi is not null then 'obese' end as bmi_category from (
         select user_id, {TS}, weight_kg, height_cm,
@@ -398,7 +389,6 @@ ORACLE: dict[str, str] = {
         from dim_user""",
     "q_dq_not_null": "select * from nn",
     "q_dq_unique": "select * from uq",
-    "q_dq_accepted_values": "select job_type, fitness_goal, cohort_readiness_label from m_community where cohort_readiness_label <> 'high_readiness'",
     "q_dq_relationships": "select * from orphan",
     "q_dq_completion_range": "select 'completion_rate_in_range' as check_name, count(*) as violations from m_coach where completion_rate_pct < 0 or completion_rate_pct > 100",
     "q_dq_fatigue_nonneg": "select 'fatigue_score_non_negative' as check_name, count(*) as violations from m_health where fatigue_score < 0 or risk_adjusted_fatigue_score < 0",
@@ -436,6 +426,40 @@ ORACLE: dict[str, str] = {
 
 ORACLE |= {
     "q_merge_buckets": ORACLE["q_merge_upsert"],
+    "q_scan_bronze": " union all by name ".join(f'select record_type, user_id, "timestamp", {", ".join(BODY[s])}, {PARTS} from fx_{s}' for s in BODY),
+    "q_scan_silver": " union all by name ".join(shown(s, f"en_{s}", "* exclude (record_type, user_id, \"timestamp\", \"date\", " + ", ".join(BODY[s])
+        + '), cast("date" as varchar) as "date"') for s in BODY),
+    "q_append_idempotent": " union all by name ".join(
+        shown(s, f"sv_{s}", 'cast("date" as varchar) as "date"') for s in BODY if s != "profile"),
+    "q_cast_schema": " union all by name ".join(
+        f'select record_type, user_id, cast(try_cast("timestamp" as timestamp) as varchar) as "timestamp", '
+        + ", ".join(f"cast({c} as {CAST[c]}) as {c}" if c in CAST else c for c in BODY[s]) + f" from fx_{s}" for s in BODY),
+    "q_dedup_events": " union all by name ".join(f"""select record_type, user_id, "timestamp", {", ".join(BODY[s])} from (
+        select *, row_number() over (partition by user_id, "timestamp" order by {nulls_first(BODY[s])}) as rn from fx_{s}) where rn = 1""" for s in BODY),
+    "q_audit_union": " union all ".join(f"""select record_type, user_id, {TS}, {sleep} as total_sleep_hours, failure_reason, job_type, fitness_goal, gym_id from en_{s}
+        union all select record_type, user_id, {TS}, {sleep}, failure_reason, null, null, null from jd_{s} where failure_reason is not null"""
+        for s, sleep in (("wearable", "cast(null as double)"), ("sleep", "total_sleep_hours"), ("nutrition", "cast(null as double)"))),
+    "q_dq_accepted_values": """select job_type, fitness_goal, 'no_' || cohort_readiness_label as cohort_readiness_label from m_community
+        where job_type = 'mixed' and cohort_readiness_label is not null""",
+    "q_dq_conservation_written": """select *, silver_rows + quarantine_rows = rows_after as conserved from (
+        select record_type, count(*) filter (where is_valid) as silver_rows, count(*) filter (where not is_valid) as quarantine_rows,
+               count(*) as rows_after from all_jd group by 1)""",
+    "q_read_files": ORACLE["q_union_by_name"],
+    "q_catalog_marts": " union all ".join(f"select '{name}' as table_name, count(*) as n_rows from {view}" for name, view in (
+        ("stg_dim_user", "stg_dim"), ("stg_fact_fatigue_recovery", "f_fatigue"), ("stg_fact_workout_consistency", "f_consistency"),
+        ("stg_fact_community_analytics", "f_community"), ("mart_user_health_score", "m_health"), ("mart_coach_dashboard", "m_coach"),
+        ("mart_community_analytics", "m_community"))),
+    "q_reference_tables": """select 'user_profiles' as table_name, user_id as "key", job_type as label, weight_kg as number from fx_user_profiles
+        union all select 'gym_master', gym_id, gym_type, null from fx_gym
+        union all select 'workout_catalog', workout_type, category, met_value from fx_catalog
+        union all select 'medical_conditions', condition, null, risk_modifier from fx_conditions
+        union all select 'date_dimension', strftime(d, '%Y%m%d'), dayname(d), cast(dayofyear(d) as double) from (
+            select unnest(generate_series(min(cast(ts as date)), max(cast(ts as date)), interval 1 day)) as d from events)""",
+    "q_reconcile_profiles": """select coalesce(l.user_id, f.user_id) as user_id, cast(coalesce(l."timestamp", f.effective_date) as varchar) as effective_date,
+        l.job_type as landing_job_type, l.fitness_goal as landing_fitness_goal, f.job_type as final_job_type, f.fitness_goal as final_fitness_goal,
+        case when f.user_id is null then 'missing_in_final' when l.user_id is null then 'missing_in_landing' else 'value_differs' end as difference
+        from sv_profile l full outer join dim_user f on f.user_id = l.user_id and f.effective_date = l."timestamp"
+        where f.user_id is null or l.user_id is null or l.job_type is distinct from f.job_type or l.fitness_goal is distinct from f.fitness_goal""",
     "q_gold_incremental": ORACLE["q_gold_fatigue"],
     "q_gold_incremental_consistency": ORACLE["q_gold_consistency"],
     "q_gold_incremental_community": ORACLE["q_gold_community"],

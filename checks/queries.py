@@ -12,7 +12,7 @@ from pulselake import schemas
 from pulselake.functions import scoring, texts
 from pulselake.functions.codec import decode_records, opened
 from pulselake.functions.numbers import round_half_up
-from pulselake.operators import audit, buckets, enrich, expectations, keys, quality, temporal, upsert
+from pulselake.operators import audit, buckets, digests, enrich, expectations, keys, quality, temporal, upsert
 from pulselake.operators.calendar import date_dimension
 from pulselake.plans import gold, incremental, rolling, runs, star, suite
 from pulselake.session import configure, side_by_side, workspace
@@ -148,16 +148,13 @@ def q_scan_bronze(spark, sf_dir):
     records = fx.records(spark, sf_dir)
     parts = texts.date_parts(F.col("timestamp").try_cast("timestamp"))
     tables.write_bronze(records.drop("id", "day").withColumns(parts), root)
-    return tables.read_bronze(spark, root, "wearable_event")
+    return tables.read_many([tables.read_bronze(spark, root, t) for t in schemas.RECORD_TYPES])
 
 
 @query
 def q_scan_silver(spark, sf_dir):
-    root = workspace(spark, "silver")
-    bronze = fx.bronze(spark, sf_dir, "wearable_event")
-    rows = runs.judge(bronze, "wearable_event", fx.references(spark, sf_dir))
-    tables.write_judged(rows, root, "wearable_event")
-    return tables.read_silver(spark, root, "wearable_event")
+    root = _written_zones(spark, sf_dir)
+    return tables.read_many([tables.read_silver(spark, root, t) for t in schemas.RECORD_TYPES])
 
 
 @query
@@ -167,6 +164,43 @@ def q_reference_csv(spark, sf_dir):
     return tables.read_reference(spark, folder)["user_profiles"].select(*fx.USER_PROFILE_COLUMNS)
 
 
+@query
+def q_reference_tables(spark, sf_dir):
+    """All five reference tables through CSV files, three columns of each."""
+    folder = workspace(spark, "reference")
+    bounds = fx.events(spark, sf_dir).agg(F.min("ts").cast("date").alias("first_date"), F.max("ts").cast("date").alias("last_date"))
+    made = fx.references(spark, sf_dir) | {"date_dimension": date_dimension(bounds)}
+    for name, table in made.items():
+        layout = schemas.REFERENCE[name]
+        tables.write_reference(tables.conform(table, layout), folder, name)
+    wanted = {"user_profiles": ("user_id", "job_type", "weight_kg"), "gym_master": ("gym_id", "gym_type", None),
+              "workout_catalog": ("workout_type", "category", "met_value"),
+              "medical_conditions": ("condition", None, "risk_modifier"), "date_dimension": ("date_id", "day_name", "day_of_year")}
+    read = tables.read_reference(spark, folder)
+    column = lambda c, kind: (F.lit(None) if c is None else F.col(c)).cast(kind)
+    return tables.read_many([
+        read[name].select(F.lit(name).alias("table_name"), column(a, "string").alias("key"), column(b, "string").alias("label"), column(c, "double").alias("number"))
+        for name, (a, b, c) in wanted.items()])
+
+
+@query
+def q_read_files(spark, sf_dir):
+    """Files of one logical table whose columns differ, read by a pattern."""
+    folder = workspace(spark, "files")
+    for name, t, columns in (("a", "workout_log", ("user_id", "timestamp", "gym_id", "rpe")), ("b", "user_profile", ("timestamp", "user_id", "age", "gym_id"))):
+        fx.bronze(spark, sf_dir, t).select(*columns).write.parquet(f"{folder}/part-{name}")
+    return tables.read_files(spark, f"{folder}/part-*")
+
+
+@query
+def q_catalog_marts(spark, sf_dir):
+    """Marts and staging in the catalog, published twice; the second publication replaces the first."""
+    made, database = stored_star(spark, sf_dir), "marts_" + workspace(spark, "x")[-12:]
+    star.publish({n: t.limit(0) for n, t in made.items()}, workspace(spark, "catalog"), database)
+    names = star.publish(made, workspace(spark, "catalog"), database)
+    return tables.read_many([spark.table(shown).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows")) for name, shown in names.items()])
+
+
 @query
 def q_stream_incremental(spark, sf_dir):
     base = workspace(spark, "incremental")
@@ -248,13 +282,17 @@ def q_gold_write(spark, sf_dir):
 
 @query
 def q_append_idempotent(spark, sf_dir):
-    path = workspace(spark, "append")
-    rows = silver(spark, sf_dir, "sleep_log").drop("failure_reason")
+    root = workspace(spark, "append")
     natural = ("user_id", "timestamp")
-    tables.append_new_rows(rows.filter(f"date <= date'{FIRST_DROP_UNTIL}'"), path, natural)
-    for _ in range(2):
-        tables.append_new_rows(rows.filter(f"date >= date'{SECOND_LOAD_FROM}'"), path, natural)
-    return spark.read.schema(rows.schema).parquet(path)
+
+    def load(t):
+        rows, path = silver(spark, sf_dir, t).drop("failure_reason"), f"{root}/{t}"
+        tables.append_new_rows(rows.filter(f"date <= date'{FIRST_DROP_UNTIL}'"), path, natural)
+        for _ in range(2):
+            tables.append_new_rows(rows.filter(f"date >= date'{SECOND_LOAD_FROM}'"), path, natural)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    return tables.read_many(side_by_side(load, [t for t in schemas.RECORD_TYPES if t != "user_profile"]))
 
 
 @query
@@ -426,7 +464,7 @@ def q_replay_equals_batch(spark, sf_dir):
 
 @query
 def q_cast_schema(spark, sf_dir):
-    return quality.cast_record(fx.bronze(spark, sf_dir, "wearable_event"), "wearable_event")
+    return tables.read_many([quality.cast_record(fx.bronze(spark, sf_dir, t), t) for t in schemas.RECORD_TYPES])
 
 
 @query
@@ -605,7 +643,7 @@ def q_dedup_removed(spark, sf_dir):
 
 @query
 def q_dedup_events(spark, sf_dir):
-    return keys.deduplicate(fx.bronze(spark, sf_dir, "workout_log"))
+    return tables.read_many([keys.deduplicate(fx.bronze(spark, sf_dir, t)) for t in schemas.RECORD_TYPES])
 
 
 @query
@@ -643,10 +681,12 @@ def q_sample_fact(spark, sf_dir):
 
 @query
 def q_audit_union(spark, sf_dir):
-    valid, bad = quality.split_silver_quarantine(judged(spark, sf_dir, "sleep_log"))
-    users = fx.references(spark, sf_dir)
-    return tables.read_many([enrich.add_cohort(valid, users), bad]).select(
-        "user_id", "timestamp", "total_sleep_hours", "failure_reason", "job_type", "fitness_goal", "gym_id")
+    users, parts = fx.references(spark, sf_dir), []
+    for t in ("wearable_event", "sleep_log", "nutrition_snapshot"):
+        valid, bad = quality.split_silver_quarantine(judged(spark, sf_dir, t))
+        parts += [enrich.add_cohort(valid, users), bad]
+    return tables.read_many(parts).select(
+        "record_type", "user_id", "timestamp", "total_sleep_hours", "failure_reason", "job_type", "fitness_goal", "gym_id")
 
 
 # --- dimensions, marts ------------------------------------------------------------------------
@@ -703,6 +743,14 @@ def q_reconcile(spark, sf_dir):
                            ["fatigue_score", "overtraining_flag"])
 
 
+@query
+def q_reconcile_profiles(spark, sf_dir):
+    """Landing profiles against the versions of the dimension, by digests of key buckets."""
+    landing = silver_enriched(spark, sf_dir, "user_profile")
+    return digests.reconcile_by_digest(landing, dim_user(spark, sf_dir), {"user_id": "user_id", "timestamp": "effective_date"},
+                                       ["job_type", "fitness_goal"], buckets=64)
+
+
 @query
 def q_profile_scd2_ranges(spark, sf_dir):
     return audit.scd2_ranges(dim_user(spark, sf_dir), fact_fatigue(spark, sf_dir))
@@ -723,7 +771,9 @@ def q_dq_unique(spark, sf_dir):
 @query
 def q_dq_accepted_values(spark, sf_dir):
     marts = star.mart_community_analytics(fact_community(spark, sf_dir))
-    return expectations.unaccepted_values(marts, "cohort_readiness_label", suite.LABELS[:1]).select(
+    label = F.when(F.col("job_type") == "mixed", F.concat(F.lit("no_"), "cohort_readiness_label")).otherwise(F.col("cohort_readiness_label"))
+    spoilt = marts.withColumn("cohort_readiness_label", label)
+    return expectations.unaccepted_values(spoilt, "cohort_readiness_label", suite.LABELS).select(
         "job_type", "fitness_goal", "cohort_readiness_label")
 
 
@@ -766,6 +816,19 @@ def q_dq_conservation(spark, sf_dir):
         "conserved", F.col("silver_rows") + F.col("quarantine_rows") == F.col("rows_after"))
 
 
+@query
+def q_dq_conservation_written(spark, sf_dir):
+    """Rows of both written zones against the judged rows, per type."""
+    root = _written_zones(spark, sf_dir)
+    zones = [read(spark, root, t).select("record_type", F.lit(n).alias("zone"))
+             for t in schemas.RECORD_TYPES for n, read in (("silver", tables.read_silver), ("quarantine", tables.read_quarantine))]
+    held = tables.read_many(zones).groupBy("record_type").agg(
+        F.count_if(F.col("zone") == "silver").alias("silver_rows"), F.count_if(F.col("zone") == "quarantine").alias("quarantine_rows"))
+    wanted = all_judged(spark, sf_dir).groupBy("record_type").agg(F.count(F.lit(1)).alias("rows_after"))
+    return held.join(wanted, "record_type", "full_outer").withColumn(
+        "conserved", F.col("silver_rows") + F.col("quarantine_rows") == F.col("rows_after"))
+
+
 @query
 def q_dq_grain(spark, sf_dir):
     wearable, workout = silver(spark, sf_dir, "wearable_event"), silver(spark, sf_dir, "workout_log")

@@ -79,7 +79,7 @@ def refresh_silver(
         days = touched[record_type]
         bronze = tables.read_bronze(spark, bronze_root, record_type, days).drop("year", "month", "day")
         judged = tables.zoned(judge(bronze, record_type, refs, rules, parity))
-        rows = tables.conform(judged, schemas.silver_schema(record_type))
+        rows = tables.conform(judged, tables.silver_layout(record_type))
         tables.write_dates(rows, f"{silver_root}/{record_type}", [_date(d) for d in days], ("zone", "date"))
 
     side_by_side(run, touched)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,6 +80,27 @@ def mart_community_analytics(community: DataFrame) -> DataFrame:
     )
 
 
+def publish(made: dict[str, DataFrame], root: str, database: str) -> dict[str, str]:
+    """Tables into the session's catalog: facts and marts as stored tables, staging as views over them.
+
+    Every publication writes tables of a new name under ``root`` and then points the view of each
+    plain name at its new table, so readers always find a whole one. Returns the names by table;
+    superseded tables are left for the operator to drop.
+    """
+    spark = next(iter(made.values())).sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    version = uuid.uuid4().hex[:8]
+
+    def save(name: str) -> str:
+        made[name].write.option("path", f"{root}/{name}_{version}").saveAsTable(f"`{database}`.`{name}_{version}`")
+        return f"`{database}`.`{name}`"
+
+    names = dict(zip(made, side_by_side(save, made)))
+    for name, shown in names.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {shown} AS SELECT * FROM `{database}`.`{name}_{version}`")
+    return names
+
+
 def _store_all(tables: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
     stored = side_by_side(lambda name: store(tables[name], root, name), tables)
     return dict(zip(tables, stored))

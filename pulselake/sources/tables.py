@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulselake import schemas
+from pulselake.operators.enrich import LOOKUPS
 from pulselake.sources.files import create_once, listed, partition_values, path_exists, read_text, remove
 
 BRONZE_PARTITIONS = ("record_type", "year", "month", "day")
@@ -112,7 +113,7 @@ def clear_retired(spark: SparkSession, root: str) -> None:
 
 def read_zone(spark: SparkSession, root: str, record_type: str, zone: str) -> DataFrame:
     table = read_parquet_or_empty(
-        spark, f"{root}/{record_type}", schemas.silver_schema(record_type)
+        spark, f"{root}/{record_type}", silver_layout(record_type)
     )
     return table.filter(F.col("zone") == zone).drop("zone")
 
@@ -142,6 +143,12 @@ def write_reference(table: DataFrame, folder: str, name: str) -> None:
     )
 
 
+def read_files(spark: SparkSession, paths: str | Sequence[str], file_format: str = "parquet") -> DataFrame:
+    """Files, folders or patterns of one logical table, stacked by column name; missing columns are null."""
+    listing = [paths] if isinstance(paths, str) else list(paths)
+    return spark.read.format(file_format).option("mergeSchema", True).load(listing)
+
+
 def read_many(parts: Sequence[DataFrame]) -> DataFrame:
     """Stack files or tables of one logical table by column name; missing columns are null."""
     whole = parts[0]
@@ -150,6 +157,21 @@ def read_many(parts: Sequence[DataFrame]) -> DataFrame:
     return whole
 
 
+def silver_layout(record_type: str) -> T.StructType:
+    """Columns of a Silver table with those of the lookups in force, in file order.
+
+    A looked-up column that the fixed layout lacks has the type of its reference table, or is text
+    where that table is not a known one.
+    """
+    layout = schemas.silver_schema(record_type)
+    added = []
+    for lookup in LOOKUPS.get(record_type, ()):
+        known = {f.name: f.dataType for f in schemas.REFERENCE.get(lookup.table, ())}
+        added += [T.StructField(n, known.get(c, T.StringType())) for n, c in lookup.take.items()
+                  if n not in layout.names and n not in [f.name for f in added]]
+    return T.StructType([*layout[:-2], *added, *layout[-2:]])
+
+
 def with_date(df: DataFrame) -> DataFrame:
     return df.withColumn("date", F.to_date("timestamp")) if "timestamp" in df.columns else df
 
@@ -195,7 +217,7 @@ def write_judged(judged: DataFrame, root: str, record_type: str) -> dict[str, in
     rows into few files, yet cuts a date too large for one task into several.
     """
     seen = Observation()
-    rows = conform(zoned(judged), schemas.silver_schema(record_type))
+    rows = conform(zoned(judged), silver_layout(record_type))
     # counted in the writing stage: tasks of an earlier stage may run again and count twice
     laid_out = rows.hint("rebalance", "zone", "date").observe(seen, *zone_counts())
     laid_out.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(
