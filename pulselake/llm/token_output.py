@@ -86,7 +86,7 @@ class Encoder:
                 stems.add(stem)
             if stem != word:
                 simple.append((word, stem, tail))
-        other += {tail for _, _, tail in simple if tail} - known.keys()
+        other += {tail for _, _, tail in simple if tail and tail not in known}
         known.update(zip(other, self._encode(other), strict=True))
         stems = list(stems)
         for at in range(0, len(stems), 500):
