@@ -7,9 +7,10 @@ repetition evenly. What a pattern sends out fixes how often all its documents ar
 many words more: these come from its documents in the order of a seeded hash, up to the key at which
 the quota is reached, and from the one or two later documents that best fill what is left.
 
-Sums along that order run over buckets of keys and then inside the one bucket where the quota
-ends, so no source is ever sorted in one task; the outcome is the same as for one running sum. Only
-totals by pattern and thresholds by pattern meet on the driver.
+The key at which a quota ends is found digit by digit, by the sums of sixteen children per pattern, first
+over sums of buckets of keys and then inside the one bucket where the quota ends, so no source is ever
+sorted in one task; the outcome is the same as for one running sum. Only totals by pattern and
+thresholds by pattern meet on the driver.
 
 Defined results: null texts have size 0, a null source is a source of its own (the last), rows
 that share an id are taken or left together, rows of size 0 add nothing, an empty table gives no
@@ -28,6 +29,7 @@ SEED, REPEATS = 42, 3
 WEIGHTS = (1, 2, 3)
 #: Documents in a bucket of keys, on average, and documents added to fill what the cut leaves.
 BUCKET, CLOSING = 4096, 2
+DIGITS = "0123456789abcdef"
 
 
 def size_of(text: Column) -> Column:
@@ -117,6 +119,23 @@ def _key(ident: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(ident.cast("string"), F.lit(""))).cast("binary"))
 
 
+def descend(rows: DataFrame, edge: DataFrame) -> DataFrame:
+    """``edge`` one digit further: in each pattern, the child of ``bucket`` where the sums pass ``left``.
+
+    Sixteen sums by pattern, added up map-side, so no pattern's keys are ever sorted in one task.
+    """
+    below = rows.join(F.broadcast(edge), "pattern").where(F.startswith("key", "bucket"))  # one row per pattern
+    digit = F.expr("substring(key, length(bucket) + 1, 1)")
+    sums = below.groupBy("pattern", "bucket", "left").agg(*[F.sum(F.when(digit == d, F.col("size")).otherwise(0)).alias(f"n{d}") for d in DIGITS])
+    before, children = F.lit(0), []
+    for d in DIGITS:
+        upto = before + F.col(f"n{d}")
+        found = F.struct(F.concat("bucket", F.lit(d)).alias("bucket"), (F.col("left") - before).alias("left"))
+        children.append(F.when(upto > F.col("left"), found))
+        before = upto
+    return sums.select("pattern", F.coalesce(*children).alias("e")).where("e is not null").select("pattern", "e.bucket", "e.left")
+
+
 def thresholds(rows: DataFrame, taken: dict[str, tuple[int, int]], bucket: int = BUCKET) -> DataFrame:
     """``pattern``, ``copies``, ``cut`` and ``closing``: a document is taken once more if its key is at most
     ``cut`` or among ``closing``. ``rows`` has ``pattern``, ``key`` and ``size``; ``taken`` copies and quota by pattern."""
@@ -126,12 +145,16 @@ def thresholds(rows: DataFrame, taken: dict[str, tuple[int, int]], bucket: int =
     plans = F.broadcast(spark.createDataFrame(  # one row per pattern
         [(p, c, q) for p, (c, q) in taken.items()], "pattern string, copies long, quota long"
     ))
-    sums = keyed.groupBy("pattern", F.substring("key", 1, digits).alias("bucket")).agg(F.sum("size").alias("size"))
-    order = Window.partitionBy("pattern").orderBy("bucket")
-    ends = sums.withColumn("upto", F.sum("size").over(order)).join(plans, "pattern").where("upto > quota")
-    edge = ends.groupBy("pattern").agg(F.min(F.struct("bucket", (F.col("quota") - F.col("upto") + F.col("size")).alias("left"))).alias("e"))
-    edge = edge.select("pattern", "e.bucket", "e.left")
-    last = keyed.withColumn("bucket", F.substring("key", 1, digits)).join(F.broadcast(edge), ["pattern", "bucket"])
+    sums = stored(keyed.groupBy("pattern", F.substring("key", 1, digits).alias("key")).agg(F.sum("size").alias("size")), "sums")
+    edge = plans.select("pattern", F.lit("").alias("bucket"), F.col("quota").alias("left"))
+    for _ in range(digits):
+        edge = descend(sums, edge)
+    edge = stored(edge, "edges")
+    inside = stored(keyed.join(F.broadcast(edge.select("pattern", "bucket")), "pattern").where(F.startswith("key", "bucket")).drop("bucket"), "edge-keys")
+    for _ in range(-(-(bucket - 1).bit_length() // 4)):  # to about one key per pattern
+        edge = descend(inside, edge)
+    edge = stored(edge, "edges")
+    last = inside.join(F.broadcast(edge), "pattern").where(F.startswith("key", "bucket"))
     last = last.withColumn("upto", F.sum("size").over(Window.partitionBy("pattern").orderBy("key"))).where("upto <= left")
     reached = last.groupBy("pattern").agg(F.max("key").alias("key"), F.max("upto").alias("upto"))
     cut = plans.join(edge, "pattern", "left").join(reached, "pattern", "left").select(
