@@ -1,10 +1,9 @@
 """Benchmark decontamination: word windows of benchmark items looked up in a broadcast hash set.
 
-All on built-in functions. The items' windows are few and checked against ``BROADCAST``; their
-hashes become the hash set of a membership test that each task carries, every window of every text
-is tested against it, and a window that passes is verified by joining its words. A benchmark
-beyond the bound takes a shuffled join of all windows on hash and words instead, which adaptive
-execution can split where one passage is frequent. Both give the same rows.
+All on built-in functions. The hashes of the items' windows are a hash set that each task carries, by a
+broadcast join on the hash alone, in passes of ``HASHES`` entries at most. Every window of every text is
+tested against it where the text is read, and a window that passes is verified by joining its words.
+Neither texts nor the windows that fail the test are shuffled, whatever the size of the benchmark.
 
 Defined results: null or wordless texts have no words and no hits, null or wordless items no
 windows; an item of fewer words than a window is one window; null item ids are ignored; rows that
@@ -14,14 +13,16 @@ are ignored or, in the functions that remove, kept.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulselake.llm.common import LOWER, UPPER, keyed, lower_ascii, stored
 
 WINDOW = 10
-#: Distinct benchmark windows up to which their hash set is broadcast.
-BROADCAST = 50_000
+#: Hashes in a broadcast hash set, some 40 bytes each; a larger benchmark takes several passes.
+HASHES = 4_000_000
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -41,14 +42,34 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return found.select(F.xxhash64("window").alias("hash"), "window", F.size("window").alias("size"), "items")
 
 
-def _starts(size: int, passes: str = "") -> str:
-    every = f"CASE WHEN size(words) >= {size} THEN sequence(1, size(words) - {size - 1}) ELSE array() END"
-    chosen = f"filter({every}, i -> xxhash64(slice(words, i, {size})) IN ({passes}))" if passes else every
-    return f"transform({chosen}, i -> named_struct('start', i, 'window', slice(words, i, {size})))"
+def _every(size: int) -> str:
+    return f"CASE WHEN size(words) >= {size} THEN sequence(1, size(words) - {size - 1}) ELSE array() END"
+
+
+def _hashes(size: int) -> str:
+    return f"transform({_every(size)}, i -> named_struct('start', i, 'size', {size}, 'hash', xxhash64(slice(words, i, {size}))))"
+
+
+def _candidates(split: DataFrame, windows: DataFrame, sizes: list[int], own: list[str], pieces: int) -> DataFrame:
+    """Candidate windows by a broadcast hash set of ``HASHES`` entries at most, one pass for each such piece.
+
+    Only hashes are compared as the texts stream by; the words of a window are cut out where its hash is
+    known. A row of start null stands for each document.
+    """
+    every = F.concat(F.expr("array(named_struct('start', cast(null as int), 'size', cast(null as int), 'hash', cast(null as bigint)))"),
+                     *[F.expr(_hashes(n)) for n in sizes])
+    split = stored(split, "words") if pieces > 1 else split  # each pass then sees the same places
+    found = []
+    for piece in range(pieces):
+        known = windows.where(F.pmod("hash", F.lit(pieces)) == piece).select("hash").distinct().withColumn("known", F.lit(True))
+        rows = split.select(*own, "words", F.explode(every if piece == 0 else F.slice(every, 2, 1 << 30)).alias("tried"))
+        rows = rows.select(*own, "words", "tried.*").join(F.broadcast(known), "hash", "left").where("known or start is null")
+        found.append(rows.select(*own, "start", F.expr("slice(words, start, size)").alias("window")))
+    return functools.reduce(DataFrame.union, found)
 
 
 def marked(
-    docs: DataFrame, benchmark: DataFrame, text: Column, place: Column, window: int = WINDOW, broadcast: int = BROADCAST,
+    docs: DataFrame, benchmark: DataFrame, text: Column, place: Column, window: int = WINDOW, hashes: int = HASHES,
     ident: Column | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: its ``place``, ``n_words``, verified ``hits`` (start and size) and ``items``,
@@ -59,22 +80,14 @@ def marked(
     """
     windows = stored(benchmark_windows(benchmark, window), "windows")
     sizes = [r["size"] for r in windows.select("size").distinct().orderBy("size").collect()]  # 1 to ``window``
-    few = windows.limit(broadcast + 1).count() <= broadcast
+    pieces = max(1, -(-windows.count() // hashes))
+    own = ["place", *([] if ident is None else ["ident"]), "n_words"]
     named = [] if ident is None else [ident.alias("ident")]
-    own = ["place", *(["ident"] if named else []), "n_words"]
-    split = docs.select(place.alias("place"), *named, words(text).alias("words"))
-    candidates = []
-    for size in sizes:
-        passes = ""
-        if few:  # at most ``broadcast`` hashes
-            passes = ",".join(f"{r['hash']}L" for r in windows.where(F.col("size") == size).select("hash").distinct().collect())
-        candidates.append(F.expr(_starts(size, passes)))
-    tried = F.concat(*candidates) if candidates else F.expr("cast(array() as array<struct<start:int,window:array<string>>>)")
-    rows = split.select(*own[:-1], F.size("words").alias("n_words"), tried.alias("tried"))
-    rows = rows.select(*own, F.explode_outer("tried").alias("tried")).select(*own, "tried.*")
-    known = windows.select("hash", "window", "size", "items")
-    verified = rows.withColumn("hash", F.xxhash64("window")).join(
-        F.broadcast(known) if few else known.hint("merge"), ["hash", "window"], "left"
+    split = docs.select(place.alias("place"), *named, words(text).alias("words")).withColumn("n_words", F.size("words"))
+    tried = _candidates(split, windows, sizes, own, pieces)
+    # Rows without a window match nothing; by their place they spread over all tasks of a shuffled join.
+    verified = tried.withColumn("hash", F.when(F.col("window").isNull(), F.xxhash64("place")).otherwise(F.xxhash64("window"))).join(
+        windows.select("hash", "window", "size", "items"), ["hash", "window"], "left"
     )
     hit = F.when(F.col("size").isNotNull(), F.struct("start", "size"))
     return verified.groupBy(*own).agg(

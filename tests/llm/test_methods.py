@@ -25,10 +25,10 @@ def same_as_sql(df, sql, sf_dir):
     pd.testing.assert_frame_equal(found, wanted[columns].sort_values("doc_id", ignore_index=True), check_dtype=False, check_exact=True)
 
 
-@pytest.mark.parametrize("broadcast", [50_000, 0])
-def test_decontamination_by_hash_set_and_by_join(spark, sf_dir, broadcast):
+@pytest.mark.parametrize("options", [{}, {"hashes": 700}])
+def test_decontamination_by_hash_sets_of_any_size(spark, sf_dir, options):
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    same_as_sql(decontaminate.report(docs, benchmark, broadcast=broadcast), ORACLE["op4_benchmark_decontamination"], sf_dir)
+    same_as_sql(decontaminate.report(docs, benchmark, **options), ORACLE["op4_benchmark_decontamination"], sf_dir)
 
 
 def test_spans_are_removed(spark):
