@@ -3,9 +3,9 @@
 A bounded sample of labelled texts is learnt from, every example over its whole vocabulary. Its terms
 are all words, and those beginnings of words that mark toxic examples. Terms that toxic examples hold
 more often than chance allows weigh more, by how seldom other examples hold them.
-The examples are kept in an inverted index, its commonest terms as a dense table besides; the cosines
-of a text with all examples are summed in full, so the neighbours are exact. Their labels are averaged
-with powers of the cosines as weights, towards the rate of toxic examples when there is little to go
+The examples are kept in a block-max inverted index: lists are cut into blocks by spans of alike
+examples, and a span is visited only if the largest weights of its blocks allow it one of the nearest.
+Bounds never fall below a cosine, so the neighbours are exact. Their labels are averaged with powers of the cosines as weights, towards the rate of toxic examples when there is little to go
 by; a text without any term of the vocabulary gets the rate among examples without a mark.
 
 Defined results: null, empty and wordless texts have no terms; ties among neighbours go to the
@@ -41,8 +41,10 @@ BEGINNINGS = (3, 4, 5, 6)
 DOUBT = 0.25
 #: Toxic examples that a marking term occurs in, at least; how much more it can weigh; the power of cosines as weights.
 LEAST, MARK, POWER = 3, 8.0, 2
-#: Terms of more examples than one in so many, and than so many, are also held in a dense table.
+#: Terms of more examples than one in so many, and than so many, have a row in the dense blocks.
 COMMON, MANY = 24, 256
+#: Examples in a span, whose blocks have one largest weight each, and spans of largest bounds visited first.
+SPAN, SEEDS = 128, 2
 #: More than sums of products of unit vectors in single precision can err.
 SLACK = 1e-4
 BATCH = 64
@@ -81,6 +83,67 @@ class Lists(Sequence):
         return self.values[self.ends[term] : self.ends[term + 1]]
 
 
+def _runs(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers from each ``first`` to before its ``last``, end to end, and which run each is of."""
+    size = last - first
+    owner = np.repeat(np.arange(len(size)), size)
+    return np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + first[owner], owner
+
+
+@dataclass
+class Spans:
+    """Inverted lists cut into blocks by spans of ``SPAN`` alike examples, with the largest weight of each block.
+
+    Examples are put in the order of their heaviest common term and their number of terms, so that the
+    lists of a term gather in few spans and the weights in a span are alike.
+    """
+
+    count: int
+    order: np.ndarray  # number of the example at each position
+    dense: np.ndarray  # common terms: weight by span, term and place in the span
+    peak: np.ndarray  # common terms: largest weight by term and span
+    place: np.ndarray  # by term: its row among common terms, or -1
+    ends: np.ndarray  # other terms: their blocks end to end
+    span: np.ndarray  # by block: its span, largest weight, and postings
+    top: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    examples: np.ndarray  # by posting: position of the example, and weight
+    weights: np.ndarray
+
+    @classmethod
+    def of(cls, index: Index) -> Spans:
+        size, n = np.diff(index.examples.ends), len(index.labels)
+        common = np.flatnonzero(size > max(MANY, n // COMMON))
+        place = np.full(len(size), -1)
+        place[common] = np.arange(len(common))
+        weights = np.zeros((len(common), n), np.float32)
+        for row, t in enumerate(common.tolist()):
+            weights[row, index.examples[t]] = index.weights[t]
+        heaviest = weights.argmax(axis=0) if len(common) else np.zeros(n, int)
+        order = np.lexsort((np.bincount(index.examples.values, minlength=n), heaviest))
+        count = max(1, -(-n // SPAN))
+        position = np.empty(n, np.int64)
+        position[order] = np.arange(n)
+        dense = np.zeros((count * SPAN, len(common)), np.float32)
+        dense[:n] = weights[:, order].T
+        dense = np.ascontiguousarray(dense.reshape(count, SPAN, -1).transpose(0, 2, 1))
+        # Postings by term and position; a block is a term's run of postings in one span.
+        term = np.repeat(np.arange(len(size)), size)
+        at = position[index.examples.values]
+        sort = np.lexsort((at, term))
+        term, at, w = term[sort], at[sort], index.weights.values[sort]
+        rare = place[term] < 0
+        term, at, w = term[rare], at[rare], w[rare]
+        key = term * count + at // SPAN
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        return cls(
+            count, order, dense, np.ascontiguousarray(dense.max(axis=2, initial=0).T), place,
+            np.searchsorted(term[first], np.arange(len(size) + 1)), (at // SPAN)[first],
+            np.maximum.reduceat(w, first) if len(first) else w, first, np.append(first[1:], len(term)), at, w,
+        )
+
+
 @dataclass
 class Index:
     """Examples as unit vectors in an inverted index."""
@@ -94,47 +157,69 @@ class Index:
     prior: float
     blank: float  # score of a text without terms
     starts: frozenset[str]  # first letters of the marking beginnings
-    dense: np.ndarray | None = field(default=None, repr=False)  # a row per common term, made on first use
-    place: np.ndarray | None = field(default=None, repr=False)  # by term: its row in ``dense``, or -1
-
-    def _common(self) -> None:
-        size = np.diff(self.examples.ends)
-        common = np.flatnonzero(size > max(MANY, len(self.labels) // COMMON))
-        self.place = np.full(len(size), -1)
-        self.place[common] = np.arange(len(common))
-        self.dense = np.zeros((len(common), len(self.labels)), np.float32)
-        for row, t in enumerate(common.tolist()):
-            self.dense[row, self.examples[t]] = self.weights[t]
+    spans: Spans | None = field(default=None, repr=False)  # made on first use
 
     def neighbours(self, parts: list[tuple[np.ndarray, np.ndarray]], count: int) -> Iterator[list[tuple[float, int]]]:
-        """For each vector, as terms and weights, the ``count`` examples of largest positive cosine; ties to the earlier one."""
-        if self.dense is None:
-            self._common()
-        wide = np.zeros((len(parts), len(self.dense)), np.float32)
+        """For each vector, as terms and weights, the ``count`` examples of largest positive cosine; ties to the earlier one.
+
+        The bound of a span of examples is the sum over terms of the vector's weight and the span's largest
+        weight of the term. Spans are visited from the largest bound on, until the bounds of the others
+        show that they hold none of the nearest.
+        """
+        if self.spans is None:
+            self.spans = Spans.of(self)
+        spans = self.spans
+        wide = np.zeros((len(parts), len(spans.peak)), np.float32)
+        split = []
         for i, (terms, w) in enumerate(parts):
-            row = self.place[terms]
+            row = spans.place[terms]
             wide[i, row[row >= 0]] = w[row >= 0]
-        rough = wide @ self.dense
-        ends, examples, weights = self.examples.ends, self.examples.values, self.weights.values
-        for i, (terms, w) in enumerate(parts):
-            row = self.place[terms]
-            rare, common = row < 0, row >= 0
-            first, last = ends[terms[rare]], ends[terms[rare] + 1]
-            cuts = list(zip(first.tolist(), last.tolist()))
-            own = np.concatenate([examples[:0]] + [examples[a:b] for a, b in cuts], dtype=np.intp)
-            held = np.concatenate([weights[:0]] + [weights[a:b] for a, b in cuts]) * np.repeat(w[rare], last - first)
-            score = np.bincount(own, held, len(self.labels))
+            split.append((terms[row < 0], w[row < 0], row[row >= 0], w[row >= 0]))
+        bounds = wide @ spans.peak
+        blocks = []
+        for i, (rare, w, _, _) in enumerate(split):
+            held, owner = _runs(spans.ends[rare], spans.ends[rare + 1])
+            span = spans.span[held]
+            bounds[i] += np.bincount(span, spans.top[held] * w[owner], spans.count)
+            blocks.append((held, owner, span))
+        guess = np.full((len(parts), spans.count, SPAN), -1.0, np.float32)
+        exact = [np.zeros(spans.count * SPAN) for _ in parts]
+
+        def visit(todo: np.ndarray) -> None:
+            """Add up the cosines with all examples of the spans marked for each vector."""
+            for at in np.flatnonzero(todo.any(axis=0)).tolist():
+                who = np.flatnonzero(todo[:, at])
+                guess[who, at] = wide[who] @ spans.dense[at]
+            for i, (held, owner, span) in enumerate(blocks):
+                inside = todo[i][span]
+                found, of = _runs(spans.first[held[inside]], spans.last[held[inside]])
+                added = np.bincount(spans.examples[found], spans.weights[found] * split[i][1][owner[inside]][of], len(exact[i]))
+                exact[i] += added
+                guess[i] += added.reshape(-1, SPAN)
+
+        seeds = np.argpartition(bounds, -min(SEEDS, spans.count), axis=1)[:, -min(SEEDS, spans.count):]
+        todo = np.zeros(bounds.shape, bool)
+        np.put_along_axis(todo, seeds, True, axis=1)
+        visit(todo)
+        reached = np.take_along_axis(guess, seeds[:, :, None], axis=1).reshape(len(parts), -1)
+        least = np.full(len(parts), -1.0)
+        if reached.shape[1] > count:
+            least = np.partition(reached, -count, axis=1)[:, -count] - 2 * SLACK
+        visit(~todo & (bounds >= least[:, None]) & (bounds > 0))
+        for i, (_, _, common, w) in enumerate(split):
             # Sums in single precision only tell which examples can be among the nearest.
-            guess = score + rough[i]
-            least = np.partition(guess, -count)[-count] - 2 * SLACK if len(guess) > count else -1.0
-            found = np.flatnonzero((guess >= least) & (guess > 0))
-            exact = score[found]
-            if common.any():
-                # Sums in another order differ in their last digits, which must not part ties.
-                exact = np.round(exact + w[common] @ self.dense[np.ix_(row[common], found)].astype(float), 12)
-            found, exact = found[exact > 0], exact[exact > 0]
-            order = np.argsort(-exact, kind="stable")[:count]
-            yield list(zip(exact[order].tolist(), found[order].tolist()))
+            rough = guess[i].ravel()
+            found = np.flatnonzero((rough >= least[i]) & (rough > 0))
+            if len(found) > count:
+                found = found[rough[found] >= np.partition(rough[found], -count)[-count] - 2 * SLACK]
+            score = exact[i][found]
+            if len(common):
+                score = score + w @ spans.dense[found[:, None] // SPAN, common, found[:, None] % SPAN].T.astype(float)
+            # Sums in another order differ in their last digits, which must not part ties.
+            score, number = np.round(score, 12), spans.order[found]
+            number, score = number[score > 0], score[score > 0]
+            order = np.lexsort((number, -score))[:count]
+            yield list(zip(score[order].tolist(), number[order].tolist()))
 
     def nearest(self, vector: dict[int, float], count: int) -> list[tuple[float, int]]:
         """The ``count`` examples of largest positive cosine, with their numbers; ties to the smaller number."""

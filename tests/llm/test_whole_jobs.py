@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from pulselake.llm import main_text, toxicity
 
@@ -23,18 +24,26 @@ def test_copies_of_rare_toxic_examples_are_toxic():
     assert near and plain < toxicity.THRESHOLD
 
 
-def test_neighbours_with_common_terms_are_exact(monkeypatch):
-    monkeypatch.setattr(toxicity, "MANY", 5)
+@pytest.mark.parametrize("many, span, seeds", [(5, 128, 2), (5, 4, 1), (10**6, 4, 1), (0, 7, 3)])
+def test_block_maxima_find_what_full_sums_find(monkeypatch, many, span, seeds):
+    for name, value in (("MANY", many), ("COMMON", 10**6), ("SPAN", span), ("SEEDS", seeds)):
+        monkeypatch.setattr(toxicity, name, value)
     index = toxicity.learn(pd.DataFrame(examples(), columns=["ident", "text", "label"]))
-    for _, text, _ in examples()[::40]:
+    texts = [text for _, text, _ in examples()[::40]] + ["wordaa", "wordaa wordaa scum"]
+    vectors, full = [], []
+    for text in texts:
         terms, counts = toxicity._counted(toxicity.words_of(text), index.vocabulary, index.starts)
-        vector = dict(zip(terms.tolist(), index._unit(terms, counts).tolist()))
+        vectors.append((terms, index._unit(terms, counts)))
         score = np.zeros(len(index.labels))
-        for t, w in vector.items():
+        for t, w in zip(terms.tolist(), vectors[-1][1].tolist()):
             score[index.examples[t]] += w * index.weights[t]
-        score = np.round(score, 12)
-        assert [e for _, e in index.nearest(vector, 15)] == [e for e in np.argsort(-score, kind="stable")[:15].tolist() if score[e] > 0]
-    assert len(index.dense)
+        full.append(np.round(score, 12))
+    for near, score in zip(index.neighbours(vectors, 15), full, strict=True):
+        assert [e for _, e in near] == [e for e in np.argsort(-score, kind="stable")[:15].tolist() if score[e] > 0]
+    spans = index.spans
+    assert (len(spans.peak) > 0) == (many < 10**6)
+    for at, first, last, top in zip(spans.span, spans.first, spans.last, spans.top):
+        assert top == spans.weights[first:last].max() and set(spans.examples[first:last] // span) == {at}
 
 
 def test_toxicity_learns_from_all_rows_it_says():
