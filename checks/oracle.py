@@ -425,6 +425,7 @@ ORACLE: dict[str, str] = {
 
 
 ORACLE |= {
+    "q_stream_redelivered": ORACLE["q_stream_dedup"],
     "q_merge_buckets": ORACLE["q_merge_upsert"],
     "q_scan_bronze": " union all by name ".join(f'select record_type, user_id, "timestamp", {", ".join(BODY[s])}, {PARTS} from fx_{s}' for s in BODY),
     "q_scan_silver": " union all by name ".join(shown(s, f"en_{s}", "* exclude (record_type, user_id, \"timestamp\", \"date\", " + ", ".join(BODY[s])

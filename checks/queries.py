@@ -982,6 +982,19 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.parquet(f"{base}/out").select("record_type", "user_id", "timestamp")
 
 
+@query
+def q_stream_redelivered(spark, sf_dir):
+    base = workspace(spark, "redelivered")
+    layout = schemas.stream_schema()
+    records = fx.records(spark, sf_dir).select(*layout.names)
+    for within in ("1 hour", "1 hour", None):  # the last run starts from a new checkpoint, without state
+        records.write.mode("append").parquet(f"{base}/landing")
+        ingest.append_unique(
+            ingest.file_stream(spark, f"{base}/landing", layout), f"{base}/out",
+            f"{base}/checkpoint-{within is None}", redelivered=within)
+    return spark.read.parquet(f"{base}/out").select("record_type", "user_id", "timestamp")
+
+
 @query
 def q_stream_silver(spark, sf_dir):
     base = workspace(spark, "stream_silver")

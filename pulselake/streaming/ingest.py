@@ -17,6 +17,9 @@ from pulselake.operators.keys import deduplicate
 from pulselake.sources.tables import OWN_KEY, append_new_rows, bronze_partitions, write_bronze
 
 REJECTED = "rejected"
+#: Columns added while redelivered messages are dropped; exact times, which JSON would else cut to milliseconds.
+ARRIVED, COPY = "__arrived", "__copy"
+EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def file_stream(
@@ -144,9 +147,21 @@ def ingest_messages(
     return drain(append_stream(rows, bronze, checkpoint))
 
 
+def without_redelivered(stream: DataFrame, within: str) -> DataFrame:
+    """The stream without equal rows that arrive again ``within`` this time, such as ``1 hour``, of the first.
+
+    State holds one digest per distinct row and is bounded by what arrives in that time. The watermark
+    runs on arrival, not on the rows' own times, so no row is ever too late; a copy that comes after
+    its digest has left the state passes, and is for an exact sink to drop.
+    """
+    content = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in stream.columns]), EXACT), 256)
+    arriving = stream.withColumns({ARRIVED: F.current_timestamp(), COPY: content})
+    return arriving.withWatermark(ARRIVED, within).dropDuplicatesWithinWatermark([COPY]).drop(ARRIVED, COPY)
+
+
 def append_unique(
     stream: DataFrame, path: str, checkpoint: str,
-    keys: Sequence[str] = ("record_type", "user_id", "timestamp"),
+    keys: Sequence[str] = ("record_type", "user_id", "timestamp"), redelivered: str | None = None,
 ) -> StreamingQuery:
     """Drain an at-least-once stream into a table that holds each key once.
 
@@ -154,16 +169,20 @@ def append_unique(
     only exact copies of it are dropped.
 
     Copies within a micro-batch are reduced map-side, copies of earlier batches by the idempotent
-    append. Nothing is kept in state, so no copy comes too late and no late row is lost; a batch
-    repeated after a failure adds nothing.
+    append. No copy comes too late and no late row is lost; a batch repeated after a failure adds
+    nothing. Nothing is kept in state unless ``redelivered`` names a time: equal rows that arrive again
+    within it are then dropped by ``without_redelivered`` and never meet the table. The result is the
+    same; a checkpoint keeps the choice it was started with.
     """
+    if redelivered is not None:
+        stream = without_redelivered(stream, redelivered)
 
     def on_batch(batch: DataFrame, _batch_id: int) -> None:
         day = F.to_date(F.col("timestamp").try_cast("timestamp"))
         unusable = day.isNull()
         for k in keys:
             unusable = unusable | F.col(k).isNull()
-        content = F.to_json(F.struct(*batch.columns))
+        content = F.to_json(F.struct(*batch.columns), EXACT)
         keyed = batch.withColumns({"date": day, OWN_KEY: F.when(unusable, content)})
         append_new_rows(deduplicate(keyed, (*keys, OWN_KEY)), path, (*keys, OWN_KEY))
 

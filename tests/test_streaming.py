@@ -118,3 +118,30 @@ def test_unreadable_rows_are_told_apart(spark, folder):
         stream = ingest.file_stream(spark, f"{folder}/landing", spark.createDataFrame([], layout).schema)
         ingest.append_unique(stream, f"{folder}/out", f"{folder}/memory")
     assert spark.read.parquet(f"{folder}/out").count() == 4
+
+
+def test_redelivered_rows_meet_state_and_older_copies_the_table(spark, folder):
+    layout = "record_type string, user_id string, timestamp string, n int, at timestamp"
+    instant = "2024-01-01 00:00:00.00000"
+    first = [("sleep_log", "u", "2024-01-01 00:00:00", 1, None), ("sleep_log", None, "?", 1, f"{instant}1"), ("sleep_log", None, "?", 1, f"{instant}2")]
+    later = [*first, ("sleep_log", "u", "2024-01-01 00:00:00", 2, None), ("sleep_log", "v", "1999-01-01 00:00:00", 1, None)]
+
+    def deliver(data):
+        cast = spark.createDataFrame(data, layout.replace("at timestamp", "at string")).withColumn("at", F.col("at").cast("timestamp"))
+        cast.coalesce(1).write.mode("append").parquet(f"{folder}/landing")
+
+    def dropped(query):
+        return sum(int(s["customMetrics"].get("numDroppedDuplicateRows", 0)) for p in query.recentProgress for s in p["stateOperators"])
+
+    def run(checkpoint):
+        stream = ingest.file_stream(spark, f"{folder}/landing", spark.createDataFrame([], layout).schema)
+        return dropped(ingest.append_unique(stream, f"{folder}/out", f"{folder}/{checkpoint}", redelivered="1 hour"))
+
+    deliver(first)
+    seen = [run("memory")]
+    deliver(later)
+    seen += [run("memory"), run("replay")]  # a replay has no state of its own: the table drops all its rows
+    assert seen == [0, 3, 3]
+    found = spark.read.parquet(f"{folder}/out")
+    assert sorted(found.select("n", "user_id").collect(), key=str) == sorted([(1, "u"), (1, None), (1, None), (1, "v")], key=str)
+    assert found.filter("user_id is null").select("at").distinct().count() == 2
