@@ -1,43 +1,42 @@
 """Language-model scores by prediction by partial matching (PPM) over bytes.
 
 A text is lower-cased in A-Z and read as its words, each closed by a space, and one end sign, the
-same event that the word-count base prices. A byte is predicted from up to ``ORDER`` bytes before it
-in its word, from the longest context that was seen: escape by method C, with the symbols of longer
-contexts excluded in shorter ones, down to all symbols alike. Contexts belong to a class of texts
-(clusters of byte histograms, fitted on a bounded sample); a text's class is priced first, so
-``score`` is the logarithm of a proper probability.
+same events that the word-count base prices. A byte is predicted from up to ``ORDER`` bytes before it,
+across words, from the longest context that was seen: escape by method C, with the symbols of longer
+contexts excluded in shorter ones, down to all symbols alike. The space before a text's first word is
+context only. ``score`` is the logarithm of a proper probability of the sequence.
 
-A word's code length depends on its class and bytes only. So all counts are made over distinct words,
-and each distinct word of the corpus is priced once. The commonest context-symbol pairs and
-the commonest words go to the tasks as bounded tables that serve most look-ups on the spot; every
-other look-up is a join with the complete tables, so these bounds never change a result.
+The price of a byte depends on its context and itself only. So tasks count such keys (numpy sorts
+them in runs of ``RUN`` bytes) and pass sums on, shorter contexts are summed from the distinct longest
+ones, and each distinct key is priced once. The commonest keys and the commonest words go to the
+scoring tasks as bounded tables that serve most look-ups on the spot; every other look-up is a join
+with the complete tables, so these bounds never change a result.
 
-Contexts are exact: class, order and bytes are packed into one long, with the symbol in its low byte.
+Keys are exact: order and bytes of the context are packed into one long, with the symbol in its low byte.
 
 Defined results: null texts count as empty, an empty text is the end sign alone; without learnable
-rows all symbols are alike; rows that share an id are scored one by one; an empty table gives no
-rows; other columns are ignored.
+rows all symbols are alike; very long texts are read whole, run by run; rows that share an id are
+scored one by one; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulselake.llm.common import heaviest, remainder, smallest_hash, stored
+from pulselake.llm.common import heaviest, remainder, stored
 
 ORDER, SYMBOLS = 5, 252  # all bytes but six white spaces, the end of a word and of the text
-CLASSES, SAMPLE_TEXTS, SAMPLE_CHARS, TURNS = 10, 2_000, 4_000, 12
-#: Pairs and words whose prices are broadcast; all others are joined.
-HEAD_PAIRS, HEAD_WORDS = 300_000, 60_000
-#: Distinct words a counting task holds before it passes them on.
-HELD = 300_000
+#: Keys and words whose prices are broadcast; all others are joined.
+HEAD_KEYS, HEAD_WORDS = 1_000_000, 60_000
+#: Bytes worked on at once, and distinct keys or words a counting task holds before it passes them on.
+RUN, HELD = 2_000_000, 300_000
 END = b"\n"
 
 _BYTES = (1 << 8 * ORDER) - 1
@@ -47,138 +46,146 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def histogram(text: bytes) -> np.ndarray:
-    """The direction of a text's byte counts, damped."""
-    counts = np.sqrt(np.bincount(np.frombuffer(text.lower(), np.uint8), minlength=256)).astype(np.float64)
-    return counts / max(math.sqrt(float((counts * counts).sum())), 1e-9)
+def stream(words: list[bytes]) -> bytes:
+    """The bytes of a text: a space that is context only, each word and a space, the end."""
+    return b" ".join([b"", *words, END])
 
 
-def cluster(texts: list[bytes]) -> np.ndarray:
-    """Centres of at most ``CLASSES`` clusters of byte histograms; the first centres are far from each other."""
-    if not texts:
-        return np.zeros((1, 256))
-    points = np.stack([histogram(t) for t in texts])
-    centres = points[:1]
-    while len(centres) < min(CLASSES, len(points)):
-        near = (points @ centres.T).max(axis=1)
-        centres = np.concatenate([centres, points[[int(near.argsort(kind="stable")[len(near) // 50])]]])
-    for _ in range(TURNS):
-        own = (points @ centres.T).argmax(axis=1)
-        for k in range(len(centres)):
-            if (own == k).any():
-                mean = points[own == k].mean(axis=0)
-                centres[k] = mean / np.linalg.norm(mean)
-    return np.round(centres, 6)
-
-
-def class_of(text: bytes, centres: np.ndarray) -> int:
-    return int((centres * histogram(text)).sum(axis=1).argmax())
-
-
-def keys_of(classes: list[int], words: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """By order: keys of all symbols of the words that have so much context, and the words they are in."""
-    parts = [b" \n" if w == END else b" " + w + b" " for w in words]
+def keys_of(parts: list[bytes], skips: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the bytes of each part from ``skips`` on, with all context up to ``ORDER``, and their part."""
     size = np.array([len(p) for p in parts])
     row = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64)
     owner = np.repeat(np.arange(len(parts)), size)
     place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-    kind = np.array(classes, np.int64)[owner] << 3
     context = np.zeros(len(row), np.int64)
-    keys, owners = [], []
-    for order in range(ORDER + 1):
-        if order:
-            context[order:] |= row[:-order] << 8 * (order - 1)
-        own = place >= max(order, 1)
-        keys.append(((kind[own] | order) << 8 * ORDER | context[own]) << 8 | row[own])
-        owners.append(owner[own])
-    return keys, owners
-
-
-def longest_keys(classes: list[int], words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The key of each symbol with all the context it has, and its word."""
-    keys, owners = keys_of(classes, words)
-    order = [(k >> 8 * (ORDER + 1)) & 7 for k in keys]
-    full = [o == ORDER if len(o) else o.astype(bool) for o in order]
-    for j in range(1, ORDER):  # shorter contexts are complete where they begin with the word
-        full[j] = (keys[j] >> 8 * j & 255) == 32
-    full[0] = np.zeros(len(keys[0]), bool)
-    return np.concatenate([k[f] for k, f in zip(keys, full)]), np.concatenate([o[f] for o, f in zip(owners, full)])
+    for j in range(1, ORDER + 1):
+        context[j:] |= row[:-j] << 8 * (j - 1)
+    order = np.minimum(place, ORDER)
+    context &= (np.int64(1) << 8 * order) - 1  # nothing of the part before
+    own = place >= np.array(skips)[owner]
+    return ((order << 8 * ORDER | context) << 8 | row)[own], owner[own]
+
+
+def runs(streams: Iterable[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys of all bytes and the number of their text, in runs of about ``RUN`` bytes; longer texts are cut."""
+    parts: list[bytes] = []
+    skips: list[int] = []
+    texts: list[int] = []
+    held = 0
+
+    def out() -> tuple[np.ndarray, np.ndarray]:
+        keys, owner = keys_of(parts, skips)
+        return keys, np.array(texts)[owner]
+
+    for i, whole in enumerate(streams):
+        for at in range(1, len(whole), RUN):
+            skip = min(at, ORDER)
+            parts.append(whole[at - skip : at + RUN])
+            skips.append(skip)
+            texts.append(i)
+            held += len(parts[-1])
+            if held >= RUN:
+                yield out()
+                parts, skips, texts, held = [], [], [], 0
+    if parts:
+        yield out()
 
 
 def _batch(names: list[str], *columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns), names)
 
 
-def count_words(docs: DataFrame, centres: np.ndarray) -> DataFrame:
-    """``class``, ``word`` and its count ``c`` in rows that ``learn``; words of other rows too, with 0."""
-    shared = docs.sparkSession.sparkContext.broadcast(centres)
+def _texts(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
+    """Pieces of at most 256 rows with the words of their texts."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            piece = batch.slice(at, 256)
+            yield piece, [words_of(t) for t in piece.column(column).to_pylist()]
+
+
+def count_words(texts: DataFrame) -> DataFrame:
+    """``word`` and its count ``c`` in the column ``text``, one end a text."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, Counter] = {}
-
-        def out() -> Iterator[pa.RecordBatch]:
-            for kind, words in counts.items():
-                yield _batch(
-                    ["class", "word", "c"], pa.array([kind] * len(words), pa.int32()),
-                    pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64()),
-                )
-            counts.clear()
-
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
-                for learn, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
-                    own = counts.setdefault(class_of(text, shared.value), Counter())
-                    words = words_of(text)
-                    if learn:
-                        own.update(words)
-                        own[END] += 1
-                    else:
-                        for w in {*words, END} - own.keys():
-                            own[w] = 0
-                if sum(map(len, counts.values())) > HELD:
-                    yield from out()
-        yield from out()
+        counts: Counter = Counter()
 
-    found = docs.select("learn", "text").mapInArrow(count, "class int, word binary, c long")
-    return found.groupBy("class", "word").agg(F.sum("c").alias("c"))
+        def out() -> pa.RecordBatch:
+            return _batch(["word", "c"], pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64()))
 
+        for _, found in _texts(batches):
+            for words in found:
+                counts.update(words)
+            counts[END] += len(found)
+            if len(counts) > HELD:
+                yield out()
+                counts.clear()
+        if counts:
+            yield out()
 
-def count_pairs(words: DataFrame) -> DataFrame:
-    """``key`` and count ``c`` of every context, of all orders, with each symbol after it."""
+    return texts.select("text").mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+
+
+def count_keys(texts: DataFrame) -> DataFrame:
+    """``key`` and count ``c`` of every byte with its longest context."""
+
+    def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        keys, counts = (np.concatenate(x) for x in zip(*held))
+        flat, place = np.unique(keys, return_inverse=True)
+        return flat, np.bincount(place, counts, len(flat)).astype(np.int64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            kinds, found, counts = (batch.column(i).to_pylist() for i in range(3))
-            keys, owners = keys_of(kinds, found)
-            weight = np.array(counts, np.int64)
-            flat, place = np.unique(np.concatenate(keys), return_inverse=True)
-            total = np.bincount(place, np.concatenate([weight[o] for o in owners]), len(flat)).astype(np.int64)
-            yield _batch(["key", "c"], pa.array(flat), pa.array(total))
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        streams = (stream(words) for _, found in _texts(batches) for words in found)
+        for keys, _ in runs(streams):
+            held.append(np.unique(keys, return_counts=True))
+            if sum(len(k) for k, _ in held) > 5 * HELD:
+                held = [merged(held)]
+                if len(held[0][0]) > 3 * HELD:
+                    yield _batch(["key", "c"], *map(pa.array, held.pop()))
+        if held:
+            yield _batch(["key", "c"], *map(pa.array, merged(held)))
 
-    found = words.where("c > 0").select("class", "word", "c").mapInArrow(count, "key long, c long")
-    return found.groupBy("key").agg(F.sum("c").alias("c"))
+    return texts.select("text").mapInArrow(count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
 
 
 def _order(node: Column) -> Column:
-    return F.shiftright(node, 8 * ORDER).bitwiseAND(F.lit(7).cast("long"))
+    return F.shiftright(node, 8 * ORDER)
 
 
 def _at_order(node: Column, order: Column) -> Column:
     """The context of the last ``order`` bytes of a context."""
     kept = F.lit(_BYTES).bitwiseAND(node).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (8 * order).cast("int")) - 1)
-    kind = F.shiftleft(F.shiftright(node, 8 * ORDER + 3), 3).bitwiseOR(order.cast("long"))
-    return F.shiftleft(kind, 8 * ORDER).bitwiseOR(kept)
+    return F.shiftleft(order.cast("long"), 8 * ORDER).bitwiseOR(kept)
 
 
-def nodes_of(pairs: DataFrame) -> DataFrame:
-    """Per context: ``total`` and number ``d`` of symbols, ``shorter`` (their total after the next shorter context), ``after``."""
-    node, symbol = F.shiftright("key", 8), F.col("key").bitwiseAND(F.lit(255).cast("long"))
-    rows = pairs.select("key", "c", node.alias("node"), symbol.cast("int").alias("symbol"))
+def _symbol(key: Column) -> Column:
+    return key.bitwiseAND(F.lit(255).cast("long"))
+
+
+def all_orders(keys: DataFrame) -> DataFrame:
+    """``key`` and ``c`` for contexts of all lengths, from those of the longest."""
+    rows = keys.select("c", F.shiftright("key", 8).alias("whole"), _symbol(F.col("key")).alias("symbol"))
+    rows = rows.withColumn("order", F.explode(F.sequence(F.lit(0), _order(F.col("whole")).cast("int"))))
+    key = F.shiftleft(_at_order(F.col("whole"), F.col("order")), 8).bitwiseOR(F.col("symbol"))
+    return rows.select(key.alias("key"), "c").groupBy("key").agg(F.sum("c").alias("c"))
+
+
+def seen_prices(pairs: DataFrame) -> DataFrame:
+    """``key``, ``c`` and ``price`` (log10) of the pairs whose context is as long as it can be."""
+    order, context = _order(F.col("node")), F.col("node")
+    first = F.call_function("shiftright", context, (8 * (order - 1)).cast("int")).bitwiseAND(F.lit(255).cast("long"))
+    rows = pairs.withColumn("node", F.shiftright("key", 8)).where((order == ORDER) | ((order > 0) & (first == 32)))
+    after = Window.partitionBy("node")  # at most one row per symbol
+    rows = rows.select("key", "c", F.sum("c").over(after).alias("total"), F.count("*").over(after).alias("d"))
+    return rows.select("key", "c", F.log10(F.col("c") / (F.col("total") + F.col("d"))).alias("price"))
+
+
+def nodes_of(pairs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Per ``wanted`` context: ``total`` and number ``d`` of symbols, ``shorter`` (their total after the next shorter context), ``after``."""
+    rows = pairs.select("key", "c", F.shiftright("key", 8).alias("node"), _symbol(F.col("key")).alias("symbol"))
+    rows = rows.join(wanted, "node", "left_semi")
     order = _order(F.col("node"))
-    shorter = F.when(order > 0, F.shiftleft(_at_order(F.col("node"), order - 1), 8).bitwiseOR(F.col("symbol").cast("long")))
+    shorter = F.when(order > 0, F.shiftleft(_at_order(F.col("node"), order - 1), 8).bitwiseOR(F.col("symbol")))
     lower = pairs.select(F.col("key").alias("shorter"), F.col("c").alias("lower"))
     joined = rows.withColumn("shorter", shorter).join(lower, "shorter", "left")
     return joined.groupBy("node").agg(
@@ -187,24 +194,12 @@ def nodes_of(pairs: DataFrame) -> DataFrame:
     )
 
 
-def seen_prices(nodes: DataFrame) -> DataFrame:
-    """``key``, ``c`` and ``price`` (log10) of the pairs whose context is as long as it can be."""
-    first = F.shiftright("node", 0)
-    starts = F.exists(
-        F.sequence(F.lit(1), F.lit(ORDER - 1)),
-        lambda j: (_order(first) == j) & (F.call_function("shiftright", F.col("node"), 8 * (j - 1)).bitwiseAND(F.lit(255).cast("long")) == 32),
-    )
-    rows = nodes.where((_order(F.col("node")) == ORDER) | starts).select("node", "total", "d", F.explode("after").alias("symbol", "c"))
-    key = F.shiftleft("node", 8).bitwiseOR(F.col("symbol").cast("long"))
-    return rows.select(key.alias("key"), "c", F.log10(F.col("c") / (F.col("total") + F.col("d"))).alias("price"))
-
-
-def unseen_prices(keys: DataFrame, nodes: DataFrame) -> DataFrame:
+def unseen_prices(keys: DataFrame, pairs: DataFrame) -> DataFrame:
     """``key`` and ``price`` by escapes through shorter contexts."""
-    node, symbol = F.shiftright("key", 8), F.col("key").bitwiseAND(F.lit(255).cast("long")).cast("int")
-    rows = keys.select("key", node.alias("whole"), symbol.alias("symbol"))
+    rows = keys.select("key", F.shiftright("key", 8).alias("whole"), _symbol(F.col("key")).alias("symbol"))
     rows = rows.withColumn("order", F.explode(F.sequence(F.lit(0), _order(F.col("whole")).cast("int"))))
-    rows = rows.withColumn("node", _at_order(F.col("whole"), F.col("order"))).join(nodes, "node", "left")
+    rows = rows.withColumn("node", _at_order(F.col("whole"), F.col("order")))
+    rows = rows.join(stored(nodes_of(pairs, rows.select("node").distinct()), "nodes"), "node", "left")
     step = F.struct(
         (-F.col("order")).alias("place"), "total", "d", "shorter", F.element_at("after", F.col("symbol")).alias("c")
     )
@@ -230,39 +225,25 @@ def unseen_prices(keys: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def price_words(words: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``class``, ``word``, ``c`` and ``price`` (log10) of all words."""
-    spark = words.sparkSession
-    nodes = stored(nodes_of(pairs), "nodes")
-    seen = stored(seen_prices(nodes), "prices")
-    head = heaviest(seen, "c", HEAD_PAIRS).select("key", "price").toPandas().sort_values("key")
-    table = spark.sparkContext.broadcast((head["key"].to_numpy(np.int64), head["price"].to_numpy(np.float64)))
-
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, prices = table.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            kinds, found = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            keys, owner = longest_keys(kinds, found)
-            place = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
-            there = known[place] == keys if len(known) else np.zeros(len(keys), bool)
-            sums = np.bincount(owner[there], prices[place[there]] if len(known) else None, len(found)).astype(float)
-            rest, rest_owner = keys[~there], owner[~there]
-            order = np.argsort(rest_owner, kind="stable")
-            ends = np.concatenate([[0], np.cumsum(np.bincount(rest_owner, minlength=len(found)))]).astype(np.int32)
-            tails = pa.ListArray.from_arrays(pa.array(ends), pa.array(rest[order]))
-            yield _batch(["class", "word", "c", "sum", "rest"], batch.column(0), batch.column(1), batch.column(2), pa.array(sums), tails)
-
-    parts = words.select("class", "word", "c").mapInArrow(add_up, "class int, word binary, c long, sum double, rest array<long>")
-    parts = stored(parts, "parts")
-    rest = parts.where("size(rest) > 0").select("class", "word", F.explode("rest").alias("key"))
-    asked = stored(rest.select("key").distinct().join(seen.select("key", "price"), "key", "left"), "asked")
-    missing = unseen_prices(asked.where("price is null").select("key"), nodes)
-    priced = asked.where("price is not null").union(missing)
-    extra = rest.join(priced, "key").select("class", "word", F.lit(0).cast("long").alias("c"), "price")
-    every = parts.select("class", "word", "c", F.col("sum").alias("price")).union(extra)
-    return every.groupBy("class", "word").agg(F.sum("c").alias("c"), F.sum("price").alias("price"))
+def _lists(owner: np.ndarray, rows: int, fields: list[tuple[str, pa.Array]]) -> pa.Array:
+    """One list of structs per row, from fields in the order of their owners."""
+    ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=rows))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([f for _, f in fields], [n for n, _ in fields]))
+
+
+def _key_sums(keys: np.ndarray, owner: np.ndarray, rows: int, known: np.ndarray, prices: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """By text the summed prices of known keys, and lists of the other keys with their counts."""
+    place = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
+    there = known[place] == keys if len(known) else np.zeros(len(keys), bool)
+    sums = np.bincount(owner[there], prices[place[there]] if len(known) else None, rows).astype(float)
+    rest, text = keys[~there], owner[~there]
+    order = np.lexsort((rest, text))
+    rest, text = rest[order], text[order]
+    fresh = np.ones(len(rest), bool)
+    fresh[1:] = (rest[1:] != rest[:-1]) | (text[1:] != text[:-1])
+    at = np.flatnonzero(fresh)
+    times = np.diff(np.append(at, len(rest)))
+    return sums, _lists(text[at], rows, [("key", pa.array(rest[at])), ("k", pa.array(times.astype(np.int64)))])
 
 
 def scores(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
@@ -273,72 +254,67 @@ def scores(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFr
         F.monotonically_increasing_id().alias("place"), F.col(ident).alias("doc_id"), (~held | held.isNull()).alias("learn"),
         F.coalesce(text, F.lit("")).cast("binary").alias("text"),
     )
-    names = docs.select(F.col(ident).alias("doc_id"), F.coalesce(text, F.lit("")).cast("binary").alias("text")).where(~held)
-    chosen = smallest_hash(names.select("doc_id").distinct(), "doc_id", SAMPLE_TEXTS)
-    sample = names.join(F.broadcast(chosen), "doc_id").select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    found = sample.groupBy("doc_id").agg(F.min("text").alias("text")).collect()  # the clusters' bounded sample
-    centres = cluster([bytes(r["text"]) for r in sorted(found, key=lambda r: r["doc_id"])])
-
-    words = stored(count_words(rows, centres), "words")
-    totals = words.groupBy("word").agg(F.sum("c").alias("c")).where("c > 0").agg(F.sum("c"), F.count("*")).first()
+    learn = rows.where("learn").select("text")
+    counts = stored(count_words(learn), "words")
+    totals = counts.agg(F.sum("c"), F.count("*")).first()
     n, v = totals[0] or 0, totals[1]
-    ends = {r["class"]: r["c"] for r in words.where(F.col("word") == F.lit(bytearray(END))).collect()}
-    prior = {k: math.log10((ends.get(k, 0) + 1) / (sum(ends.values()) + len(centres))) for k in range(len(centres))}
-    priced = price_words(words, stored(count_pairs(words), "pairs"))
-    everywhere = words.groupBy("word").agg(F.sum("c").alias("count"))
-    full = stored(priced.join(everywhere, "word").select("class", "word", "c", "count", "price"), "priced")
-    head = heaviest(full, "c", HEAD_WORDS).select("class", "word", "count", "price").toPandas()
-    table = spark.sparkContext.broadcast(
-        {(k, bytes(w)): (c, p) for k, w, c, p in zip(head["class"].tolist(), head["word"], head["count"].tolist(), head["price"].tolist())}
-    )
-    shared = spark.sparkContext.broadcast((centres, prior))
     scale = math.log10(n + v + 1)
+    pairs = stored(all_orders(count_keys(learn)), "pairs")
+    seen = stored(seen_prices(pairs), "prices")
+
+    head = heaviest(seen, "c", HEAD_KEYS).select("key", "price").toArrow()
+    keys, prices = head["key"].to_numpy(), head["price"].to_numpy()
+    order = np.argsort(keys)
+    common = heaviest(counts, "c", HEAD_WORDS).toArrow()
+    base = {w: math.log10(c + 1) - scale for w, c in zip(common["word"].to_pylist(), common["c"].to_pylist())}
+    shared = spark.sparkContext.broadcast((keys[order], prices[order], base))
+    names = ["place", "doc_id", "n_tokens", "n_known", "base_score", "score", "words", "keys"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (centres, prior), known = shared.value, table.value
-        by_class: dict[int, dict[bytes, tuple[int, float]]] = {}
-        for (kind, word), value in known.items():
-            by_class.setdefault(kind, {})[word] = (value[0] > 0, math.log10(value[0] + 1) - scale, value[1])
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
-                out: list[list] = [[], [], [], [], []]
-                tails: list[list] = []
-                for text in piece.column(2).to_pylist():
-                    kind = class_of(text, centres)
-                    counts, own = Counter(words_of(text)), by_class.get(kind, {})
-                    size = counts.total() + 1
-                    counts[END] += 1
-                    seen, base, price, rest = 0, 0.0, prior[kind], []
-                    for w, k in counts.items():
-                        if found := own.get(w):
-                            seen += k * found[0]
-                            base += k * found[1]
-                            price += k * found[2]
-                        else:
-                            rest.append({"word": w, "k": k})
-                    for column, value in zip(out, (kind, size, seen, base, price)):
-                        column.append(value)
-                    tails.append(rest)
-                yield _batch(
-                    ["place", "doc_id", "class", "n_tokens", "n_known", "base_score", "score", "rest"],
-                    piece.column(0), piece.column(1), pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()),
-                    pa.array(out[2], pa.int64()), pa.array(out[3], pa.float64()), pa.array(out[4], pa.float64()),
-                    pa.array(tails, pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())]))),
-                )
+        known, prices, base = shared.value
+        for piece, found in _texts(batches, 2):
+            place, doc, size = piece.column(0), piece.column(1), piece.num_rows
+            own, sums, rest, times, owner = np.zeros(size, np.int64), np.zeros(size), [], [], []
+            for i, words in enumerate(found):
+                own[i] = len(words) + 1
+                total = 0.0
+                for w, k in Counter([*words, END]).items():
+                    price = base.get(w)
+                    if price is None:
+                        rest.append(w)
+                        times.append(k)
+                        owner.append(i)
+                    else:
+                        total += k * price
+                sums[i] = total
+            tails = _lists(np.array(owner, np.int64), size, [("word", pa.array(rest, pa.binary())), ("k", pa.array(times, pa.int64()))])
+            missed = np.bincount(np.array(owner, np.int64), times, size).astype(np.int64)
+            blank = _lists(np.zeros(0, np.int64), size, [("key", pa.array([], pa.int64())), ("k", pa.array([], pa.int64()))])
+            yield _batch(names, place, doc, pa.array(own), pa.array(own - missed), pa.array(sums), pa.array(np.zeros(size)), tails, blank)
+
+            zero, none = np.zeros(size, np.int64), _lists(np.zeros(0, np.int64), size, [("word", pa.array([], pa.binary())), ("k", pa.array([], pa.int64()))])
+            for keys, texts in runs(map(stream, found)):
+                sums, tails = _key_sums(keys, texts, size, known, prices)
+                lo, hi = int(texts[0]), int(texts[-1]) + 1
+                columns = (place, doc, pa.array(zero), pa.array(zero), pa.array(zero.astype(float)), pa.array(sums), none, tails)
+                yield _batch(names, *(c.slice(lo, hi - lo) for c in columns))
 
     kind = docs.schema[ident].dataType.simpleString()
     first = stored(rows.select("place", "doc_id", "text").mapInArrow(
-        score, f"place long, doc_id {kind}, class int, n_tokens long, n_known long, base_score double, score double, "
-        "rest array<struct<word: binary, k: long>>",
+        score, f"place long, doc_id {kind}, n_tokens long, n_known long, base_score double, score double, "
+        "words array<struct<word: binary, k: long>>, keys array<struct<key: long, k: long>>",
     ), "scores")
-    rest = first.select("place", "class", F.explode("rest").alias("r")).select("place", "class", "r.word", "r.k")
-    joined = rest.join(full, ["class", "word"]).select(
-        "place", F.lit(None).cast(kind).alias("doc_id"), F.lit(0).cast("long").alias("n_tokens"),
-        F.when(F.col("count") > 0, F.col("k")).otherwise(0).alias("n_known"),
-        (F.col("k") * (F.log10(F.col("count") + 1) - scale)).alias("base_score"), (F.col("k") * F.col("price")).alias("score"),
+    words = first.select("place", F.explode("words").alias("r")).select("place", "r.word", "r.k").join(counts, "word", "left")
+    rest = first.select("place", F.explode("keys").alias("r")).select("place", "r.key", "r.k")
+    missing = stored(rest.select("key").distinct().join(seen, "key", "left_anti"), "missing")
+    priced = seen.select("key", "price").union(unseen_prices(missing, pairs))
+    nothing, none = F.lit(0).cast("long"), F.lit(None).cast(kind).alias("doc_id")
+    by_word = words.select(
+        "place", none, nothing, F.when(F.col("c").isNotNull(), F.col("k")).otherwise(0),
+        F.col("k") * (F.log10(F.coalesce("c", nothing) + 1) - scale), F.lit(0.0),
     )
-    every = first.select("place", "doc_id", "n_tokens", "n_known", "base_score", "score").union(joined)
+    by_key = rest.join(priced, "key").select("place", none, nothing, nothing, F.lit(0.0), F.col("k") * F.col("price"))
+    every = first.select("place", "doc_id", "n_tokens", "n_known", "base_score", "score").union(by_word).union(by_key)
     out = every.groupBy("place").agg(
         F.max("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score"))
     )

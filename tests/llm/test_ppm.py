@@ -1,6 +1,7 @@
 """Language-model scores against a plain PPM with dictionaries."""
 
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,28 +11,28 @@ from pulselake.llm import ppm
 from pulselake.llm.common import importable
 
 
-def plain(docs, centres):
-    """Scores of ``(doc_id, text)`` rows by walking contexts symbol by symbol."""
-    learn = [(i, t or "") for i, t in docs if zlib.crc32(str(i).encode()) % 7 != 2]
-    words, total, after, ends = defaultdict(Counter), Counter(), defaultdict(Counter), Counter()
-    for _, t in learn:
-        kind = ppm.class_of(t.encode(), centres)
-        split = [w.encode() for w in t.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).split()]
-        words[kind].update(split + [ppm.END])
-        total.update(split + [ppm.END])
-        ends[kind] += 1
-    for kind, counts in words.items():
-        for w, c in counts.items():
-            row = b" \n" if w == ppm.END else b" " + w + b" "
-            for p in range(1, len(row)):
-                for j in range(min(ppm.ORDER, p) + 1):
-                    after[kind, row[p - j : p]][row[p]] += c
+def plain(docs):
+    """Scores of ``(doc_id, text)`` rows by walking contexts symbol by symbol through the whole text."""
+    learn = [t or "" for i, t in docs if zlib.crc32(str(i).encode()) % 7 != 2]
+    total, after = Counter(), defaultdict(Counter)
+
+    def read(text):
+        lowered = text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+        words = [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", lowered)]
+        return words + [ppm.END], b" " + b"".join(w + b" " for w in words) + ppm.END
+
+    for t in learn:
+        words, row = read(t)
+        total.update(words)
+        for p in range(1, len(row)):
+            for j in range(min(ppm.ORDER, p) + 1):
+                after[row[p - j : p]][row[p]] += 1
     n, v = sum(total.values()), len(total)
 
-    def price(kind, context, symbol):
+    def price(context, symbol):
         out, barred = 0.0, set()
         while True:
-            seen = after.get((kind, context))
+            seen = after.get(context)
             if seen:
                 fresh = {s: c for s, c in seen.items() if s not in barred}
                 left = sum(fresh.values()) + len(fresh)
@@ -46,23 +47,16 @@ def plain(docs, centres):
 
     result = {}
     for i, t in docs:
-        text = (t or "").encode()
-        kind = ppm.class_of(text, centres)
-        score = math.log10((ends[kind] + 1) / (len(learn) + len(centres)))
-        split = text.lower().split() + [ppm.END]
-        for w in split:
-            row = b" \n" if w == ppm.END else b" " + w + b" "
-            score += sum(price(kind, row[max(0, p - ppm.ORDER) : p], row[p]) for p in range(1, len(row)))
-        base = sum(math.log10((total[w] + 1) / (n + v + 1)) for w in split)
-        result[i] = (zlib.crc32(str(i).encode()) % 7 == 2, len(split), sum(total[w] > 0 for w in split), n, base, score)
+        words, row = read(t or "")
+        score = sum(price(row[max(0, p - ppm.ORDER) : p], row[p]) for p in range(1, len(row)))
+        base = sum(math.log10((total[w] + 1) / (n + v + 1)) for w in words)
+        result[i] = (zlib.crc32(str(i).encode()) % 7 == 2, len(words), sum(total[w] > 0 for w in words), n, base, score)
     return result
 
 
 def check(spark, docs):
     frame = importable(spark).createDataFrame(docs, "doc_id long, text string, score string")
-    learn = sorted((i, t or "") for i, t, _ in docs if zlib.crc32(str(i).encode()) % 7 != 2)
-    centres = ppm.cluster([t.encode() for _, t in learn])
-    expected = plain([(i, t) for i, t, _ in docs], centres)
+    expected = plain([(i, t) for i, t, _ in docs])
     found = {r["doc_id"]: r for r in ppm.scores(frame).collect()}
     assert found.keys() == expected.keys()
     for i, (held, n_tokens, n_known, n, base, score) in expected.items():
@@ -84,9 +78,10 @@ def test_scores_match_a_plain_model(spark):
 def test_small_tables_never_change_a_score(spark, monkeypatch):
     docs = [(i, TEXTS[i % len(TEXTS)], "x") for i in range(40)]
     before = check(spark, docs)
-    monkeypatch.setattr(ppm, "HEAD_PAIRS", 3)
+    monkeypatch.setattr(ppm, "HEAD_KEYS", 3)
     monkeypatch.setattr(ppm, "HEAD_WORDS", 2)
     monkeypatch.setattr(ppm, "HELD", 5)
+    monkeypatch.setattr(ppm, "RUN", 7)  # every longer text is cut
     assert {i: round(r["score"], 9) for i, r in check(spark, docs).items()} == {i: round(r["score"], 9) for i, r in before.items()}
 
 
@@ -96,5 +91,15 @@ def test_empty_and_unlearnable_tables(spark):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     (row,) = ppm.scores(spark.createDataFrame([(held, "ab")], schema)).collect()
     assert row["n_known"] == 0 and row["train_tokens"] == 0 and row["base_score"] == 0.0
-    # one class, a, b, the end of the word and the end of the text, all alike
+    # a, b, the end of the word and the end of the text, all alike
     assert row["score"] == pytest.approx(-4 * math.log10(ppm.SYMBOLS))
+
+
+def test_the_order_of_words_counts(spark):
+    text = "one fine day the old cat sat down on the warm mat and looked at the moon"
+    mixed = " ".join(sorted(text.split()))
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    rest = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 != 2][:20]
+    found = check(spark, [(i, text, "x") for i in rest] + [(held[0], text, "x"), (held[1], mixed, "x")])
+    assert found[held[0]]["base_score"] == pytest.approx(found[held[1]]["base_score"])
+    assert found[held[0]]["score"] > found[held[1]]["score"] + 10
