@@ -7,11 +7,15 @@ estimate its cross entropy, and the language of the smallest estimate wins. Text
 letters in lower case with single separators for everything else.
 
 Parsing is a table look-up per character, done for all texts of a batch and all languages at once;
-long texts are cut into lanes of ``LANE`` characters, at most one more phrase each.
+long texts are cut into lanes of ``LANE`` characters, at most one more phrase each. The commonest
+letters of all samples have a dense table of steps, all others sorted (state, letter) pairs, so every
+letter of a sample is told apart, whatever the scripts.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; without any
-labelled row every text is ``und``; equal estimates go to the first language by code point; rows
-that share an id are judged one by one; an empty table gives no rows; other columns are ignored.
+labelled row every text is ``und``; equal estimates go to the first language by code point; rows that
+share an id are judged one by one, and learnt from under their own label; very long texts are judged
+whole, and learnt from by pieces from beginning to end; an empty table gives no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -28,10 +32,11 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from pulselake.llm.common import remainder
 
-#: Per language: texts sampled (of smallest hash), characters of each, and characters in all.
-SAMPLE_TEXTS, TEXT_CHARS, SAMPLE_CHARS = 64, 2_000, 30_000
-#: Letters told apart; rarer ones are unknown to every language.
-LETTERS = 60
+#: Per language: texts sampled (of smallest hash), characters of each (longer ones give ``PIECES`` pieces,
+#: evenly spread), and characters in all; and characters of all languages together.
+SAMPLE_TEXTS, TEXT_CHARS, PIECES, SAMPLE_CHARS, ALL_CHARS = 64, 2_000, 4, 30_000, 3_000_000
+#: Letters with a dense table of steps, and its largest size in bytes; other letters are looked up in sorted pairs.
+LETTERS, TABLE_BYTES = 60, 64 << 20
 LANE, BATCH = 1024, 256
 UNKNOWN = "und"
 
@@ -84,14 +89,30 @@ def automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 @dataclass
 class Parser:
-    """Automata of all languages as one table of steps: twice the next state, plus one if a phrase begins."""
+    """Automata of all languages as steps: twice the next state, plus one if a phrase begins.
+
+    Symbols below ``width`` are steps of a dense table. Others are found among sorted ``pairs`` of state
+    and symbol; those missing there begin a phrase with the step of ``starts``.
+    """
 
     languages: list[str]
     steps: np.ndarray
-    offsets: np.ndarray
+    first: np.ndarray  # of each language, the number of its first state
     weights: np.ndarray
     lut: np.ndarray
     width: int
+    pairs: np.ndarray
+    moves: np.ndarray
+    starts: np.ndarray
+
+    def _rare(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """Steps of all languages (rows) on symbols without a dense table."""
+        fresh = self.starts[:, symbol - self.width]
+        if not len(self.pairs):
+            return fresh
+        pair = (self.first[:, None] + state) * self.starts.shape[1] + symbol - self.width
+        place = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where(self.pairs[place] == pair, self.moves[place], fresh)
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases of each text by language, and the letters of each text."""
@@ -111,13 +132,15 @@ class Parser:
         length = end - start
         state = np.zeros((len(self.languages), len(start)), np.int64)
         tally = np.zeros(state.shape, np.int64)
-        base = self.offsets[:, None]
+        base, rare = self.first[:, None], bool((found >= self.width).any())
         alive = len(start)
         for i in range(int(length[0])):
             while length[alive - 1] <= i:
                 alive -= 1
             symbol = found[start[:alive] + i]
-            step = self.steps[base + state[:, :alive] * self.width + symbol]
+            step = self.steps[(base + state[:, :alive]) * self.width + np.minimum(symbol, self.width - 1)]
+            if rare and len(at := np.flatnonzero(symbol >= self.width)):
+                step[:, at] = self._rare(state[:, at], symbol[at])
             tally[:, :alive] += step & 1
             state[:, :alive] = step >> 1
         for k in range(len(self.languages)):
@@ -142,41 +165,63 @@ class Parser:
 def learn(samples: dict[str, list[str]]) -> Parser:
     """A parser from sample texts by language."""
     languages = sorted(samples)
-    lut = np.zeros(sys.maxunicode + 1, np.uint8)
+    lut = np.zeros(sys.maxunicode + 1, np.int32)
     lut[[c for c in range(sys.maxunicode + 1) if chr(c).isalpha()]] = _OTHER
-    seen = Counter(c for texts in samples.values() for t in texts for c in t[:TEXT_CHARS].lower() if c.isalpha())
-    for i, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LETTERS]):
+    seen = Counter(c for texts in samples.values() for t in texts for c in t.lower() if c.isalpha())
+    for i, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))):
         lut[ord(c)] = _FIRST + i
-    width = _FIRST + LETTERS
-    steps, offsets, weights = [], [], []
-    for language in languages:
-        found, _ = _symbols([t[:TEXT_CHARS] for t in samples[language]], lut)
-        found = found[:SAMPLE_CHARS]
+    share = min(SAMPLE_CHARS, max(ALL_CHARS // max(len(languages), 1), 1))
+    read = [_symbols(samples[k], lut)[0][:share] for k in languages]
+    states = 2 * sum(map(len, read)) + len(languages)  # at most
+    width = _FIRST + min(LETTERS, len(seen), max(TABLE_BYTES // (4 * max(states, 1)) - _FIRST, 0))
+    others = max(_FIRST + len(seen) - width, 1)
+    starts = np.ones((len(languages), others), np.int32)  # an unknown symbol is a phrase and leads to the start
+    steps, first, weights, pairs, moved = [], [], [], [], []
+    total = 0
+    for k, found in enumerate(read):
         moves = automaton(found.tolist())
-        start = np.full(width, 1, np.int32)  # an unknown symbol is a phrase and leads to the start
+        start = np.ones(width, np.int32)
         for c, to in moves[0].items():
-            start[c] = 2 * to + 1
+            if c < width:
+                start[c] = 2 * to + 1
+            else:
+                starts[k, c - width] = 2 * to + 1
         rows = np.tile(start, (len(moves), 1))
         for state, by in enumerate(moves):
             for c, to in by.items():
-                rows[state, c] = 2 * to + (state == 0)
+                if c < width:
+                    rows[state, c] = 2 * to + (state == 0)
+                elif state:
+                    pairs.append((total + state) * others + c - width)
+                    moved.append(2 * to)
         steps.append(rows.reshape(-1))
-        offsets.append(sum(len(s) for s in steps[:-1]))
+        first.append(total)
         weights.append(np.log2(max(len(found), 2)))
+        total += len(moves)
     table = np.concatenate(steps) if steps else np.zeros(0, np.int32)
-    return Parser(languages, table, np.array(offsets, np.int64), np.array(weights), lut, width)
+    order = np.argsort(np.array(pairs, np.int64))
+    return Parser(
+        languages, table, np.array(first, np.int64), np.array(weights), lut, width,
+        np.array(pairs, np.int64)[order], np.array(moved, np.int32)[order], starts,
+    )
 
 
 def sample(docs: DataFrame, ident: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, list[str]]:
-    """The ``SAMPLE_TEXTS`` texts of smallest hash per language, of rows that may be learnt from."""
-    rows = docs.select(F.col(ident).alias("ident"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    """The ``SAMPLE_TEXTS`` texts of smallest hash per language, of rows that may be learnt from; of long texts, pieces."""
+    rows = docs.select(F.col(ident).alias("ident"), F.col(lang).alias("lang"), F.coalesce(text, F.lit("")).alias("text"))
     rows = rows.where((remainder(F.col("ident"), 4) != 2) & F.col("lang").isNotNull())
     order = Window.partitionBy("lang").orderBy(F.xxhash64("ident"), "ident")
     chosen = rows.select("ident", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_TEXTS)
-    texts = rows.select("ident", F.substring(F.coalesce("text", F.lit("")), 1, TEXT_CHARS).alias("text"))
-    found = chosen.join(texts, "ident").select("lang", "place", "text").collect()  # bounded by language
+    chosen = chosen.groupBy("ident", "lang").agg(F.min("place").alias("place"))  # rows that share both are one text
+    size, length = TEXT_CHARS // PIECES, F.char_length("text")
+    spread = [
+        F.substring("text", F.floor((length - size) * i / (PIECES - 1)).cast("int") + 1, F.lit(size)) for i in range(PIECES)
+    ]
+    pieces = F.when(length <= TEXT_CHARS, F.col("text")).otherwise(F.concat_ws(" ", *spread)).alias("text")
+    texts = rows.join(F.broadcast(chosen), ["ident", "lang"]).select("lang", "place", pieces)  # chosen: bounded by language
+    found = texts.groupBy("lang", "place").agg(F.min("text").alias("text")).collect()
     out: dict[str, list[str]] = {}
-    for r in sorted(found, key=lambda r: (r["lang"], r["place"], r["text"])):
+    for r in sorted(found, key=lambda r: (r["lang"], r["place"])):
         out.setdefault(r["lang"], []).append(r["text"])
     return out
 
