@@ -1,19 +1,22 @@
 """Main text of web pages from a recurrent labeller of blocks.
 
 A page is cut into its blocks (runs of text between block-level tags) in page order. A
-bidirectional LSTM in numpy reads, for each block, hashed vectors of its tag path and of its words
+bidirectional LSTM in numpy reads, for each block, a vector of its tag path, one of its hashed words
 and a few measures, and labels every block main or not with the whole page as context. Main blocks,
 joined by one space, are the text.
 
 The labeller is trained here on a bounded sample of the pages themselves. Labels come from
 containers that pages name: inside ``article`` or ``main`` and outside any menu, footer, form, notice
-and the like is main. As pages of one kind show few of these, each sample page is also read with
-sections of other names put into it (their words taken from other blocks) and with its containers
-renamed, so that names and places are learnt rather than one layout.
+and the like is main; blocks of which no name tells anything are left out of the loss. As pages of one
+kind show few of these, each sample page is also read with sections of other names put into it (their
+words taken from other blocks) and with its containers renamed, left without any name, or put into
+wrappers named after what they also hold (``header-wrapper``, ``has-sidebar``), so that names, words and
+places are learnt rather than one layout. Names outside the lists below have no place in a path's
+vector, so a page's own names change nothing.
 
 Defined results: null and empty pages and pages without main blocks give an empty text; scripts,
 styles and comments are never blocks; character references are decoded; unclosed and stray tags
-are taken as browsers do, roughly; without pages to learn from, every block is refused; rows
+are taken as browsers do, roughly; very long pages are read whole, many small ones at once; without pages to learn from, every block is refused; rows
 that share an id are read one by one; other columns are ignored.
 """
 
@@ -38,8 +41,9 @@ from pulselake.llm.common import smallest_hash
 
 #: Pages learnt from at most (those of smallest hash), each whole.
 SAMPLE_PAGES = 320
-PATH, WORDS, MEASURES, HIDDEN = 192, 32, 6, 24
-EPOCHS, BATCH = 12, 128
+WORDS, MEASURES, HIDDEN = 32, 6, 24
+#: Rounds of training, and blocks after which the pages at hand are labelled.
+EPOCHS, BATCH_BLOCKS = 12, 8_192
 
 #: HTML elements that end a run of text, that have no content, and whose content is no text.
 BLOCK = frozenset(
@@ -69,6 +73,8 @@ REFUSED = (
     ".consent", ".notice", ".alert", ".popup", ".modal", ".newsletter", ".subscribe", ".comment", ".comments",
     ".reply", ".discussion", ".related", ".recommended", ".share", ".social", ".tags", ".widget", ".copyright",
 )
+#: Parts of a name that say that its container holds a named part, not that it is one: ``header-wrapper``, ``has-sidebar``.
+AFTER, BEFORE = (".wrapper", ".wrap", ".container", ".layout", ".page"), (".has", ".with", ".no")
 #: Sections put into sample pages: paths below the place where they go.
 SECTIONS = tuple(
     [(t,) for t in ("nav", "footer", "aside", "form", "menu", "header", "dialog")]
@@ -79,10 +85,25 @@ SECTIONS = tuple(
     + [("section", ".comments", "ol", "li", "p"), ("ul", ".comments", "li"), ("div", ".comments", "div", ".comment", "p"),
        ("ul", ".menu", "li", "a"), ("ul", ".share", "li", "a"), ("div", ".sidebar", "ul", "li", "a")]
 )
+#: Sections without a telling name, put outside the main container: lists of links, and wrappers around no article.
+NAMELESS = (
+    [("ul", "li", "a"), ("div", "a"), ("div", "ul", "li", "a"), ("p", "a")]
+    + [("div", name, part, "p") for name in (".header", ".footer", ".nav", ".menu", ".sidebar") for part in AFTER]
+)
 CONTAINERS = (
     ("article",), ("main",), ("main", "article"), ("div", ".content"), ("div", ".post"), ("div", ".entry", ".content"),
     ("section", ".article"), ("div", ".main"), ("div", ".story"), ("article", ".post"), ("article", "section"),
 )
+UNNAMED = ((), ("div",), ("div", "div"), ("section",), ("div", "section"), ("div", "div", "div"), ("table", "tbody", "tr", "td"))
+WRAPPERS = tuple(
+    [("div", name, part) for name in (".header", ".footer", ".nav", ".menu", ".sidebar") for part in AFTER]
+    + [("div", part, name) for part in BEFORE for name in (".header", ".footer", ".sidebar", ".banner", ".ads", ".comments")]
+)
+#: The place of each known tag and name in the vector of a path.
+SLOTS = {
+    n: i for i, n in enumerate(sorted({*BLOCK, *MAIN, *REFUSED, *AFTER, *BEFORE, *"a b strong em i u small span time cite code".split()}))
+}
+PATH = len(SLOTS)
 
 
 def blocks_of(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
@@ -143,12 +164,12 @@ def _hash(word: str, size: int) -> int:
 
 
 def features(blocks: list[tuple[tuple[str, ...], str, int]]) -> np.ndarray:
-    """One row per block: hashed path, hashed words, measures."""
+    """One row per block: known tags and names of the path, hashed words, measures."""
     out = np.zeros((len(blocks), PATH + WORDS + MEASURES), np.float32)
     known: dict[tuple[str, ...], list[int]] = {}
     for i, (path, text, linked) in enumerate(blocks):
         if path not in known:
-            known[path] = [_hash(n, PATH) for n in path]
+            known[path] = [SLOTS[n] for n in path if n in SLOTS]
         out[i, known[path]] = 1
         words = text.split()
         for w, n in Counter(words).items():
@@ -211,11 +232,13 @@ class Labeller:
         return _sigmoid(both @ self.output)[:, 0]
 
     def gradients(self, x: np.ndarray, sizes: np.ndarray, truth: np.ndarray) -> list[np.ndarray]:
-        """Gradients of the mean cross entropy, in the order inputs, recurrent, output."""
+        """Gradients of the mean cross entropy over blocks of known truth (not -1), in the order inputs, recurrent, output."""
         kept: list[list] = [[], []]
         hidden = [self._run(x, sizes, d, kept[d]) for d in range(2)]
         both = np.concatenate([*hidden, np.ones((len(x), 1), np.float32)], axis=1)
-        miss = ((_sigmoid(both @ self.output)[:, 0] - truth) / len(x)).astype(np.float32)[:, None]
+        known = truth >= 0
+        miss = np.where(known, _sigmoid(both @ self.output)[:, 0] - truth, 0) / max(int(known.sum()), 1)
+        miss = miss.astype(np.float32)[:, None]
         back = miss @ self.output.T
         inputs, recurrent = [], []
         for d in range(2):
@@ -240,44 +263,54 @@ class Labeller:
     def extract(self, pages: list[str | None]) -> list[str]:
         """The main text of each page."""
         out: list[str] = []
-        for at in range(0, len(pages), BATCH):
-            cut = [blocks_of(p) for p in pages[at : at + BATCH]]
-            full = [b for b in cut if b]
-            good = np.zeros(0, bool)
-            if full and self.trained:
-                good = self.scores(np.concatenate([features(b) for b in full]), np.array([len(b) for b in full])) >= 0.5
-            else:
-                good = np.zeros(sum(map(len, full)), bool)
-            marks = iter(good.tolist())
-            out += [" ".join(text for _, text, _ in blocks if next(marks)) for blocks in cut]
-        return out
+        held: list[list] = []
+        for page in pages:
+            held.append(blocks_of(page))
+            if sum(map(len, held)) >= BATCH_BLOCKS:
+                out += self._texts(held)
+                held = []
+        return out + self._texts(held)
+
+    def _texts(self, pages: list[list]) -> list[str]:
+        full = [b for b in pages if b]
+        good = np.zeros(sum(map(len, full)), bool)
+        if full and self.trained:
+            good = self.scores(np.concatenate([features(b) for b in full]), np.array([len(b) for b in full])) >= 0.5
+        marks = iter(good.tolist())
+        return [" ".join(text for _, text, _ in blocks if next(marks)) for blocks in pages]
 
 
 def named(path: tuple[str, ...]) -> int | None:
     """The label that a path's container names give: 1 main, 0 not, None unknown."""
-    if any(n in REFUSED for n in path):
-        return 0
+    for i, n in enumerate(path):
+        if n in REFUSED and not (n[0] == "." and (path[i - 1] in BEFORE or path[i + 1 : i + 2] and path[i + 1] in AFTER)):
+            return 0
     return 1 if any(n in MAIN for n in path) else None
 
 
 def _varied(blocks: list, labels: list[int], words: list[str], rng: random.Random) -> tuple[list, list[int]]:
-    """The page with its main container renamed and sections of other names put in."""
+    """The page with its main container renamed, unnamed or wrapped, and sections of other names put in."""
     container = rng.choice(CONTAINERS)
-    keep = rng.random() < 0.4
+    if rng.random() < 0.3:
+        container = rng.choice(WRAPPERS) + container
+    elif rng.random() < 0.5:
+        container = rng.choice(UNNAMED)
+    keep = rng.random() < 0.3
     out, marks = [], []
     for (path, text, linked), y in zip(blocks, labels):
-        if y and not keep:
+        if y == 1 and not keep:
             cut = max(i for i, n in enumerate(path) if n in MAIN)
             path = path[: path.index(next(n for n in path if n in MAIN))] + container + path[cut + 1 :]
         out.append((path, text, linked))
         marks.append(y)
     for _ in range(rng.randint(1, 4)):
-        section = rng.choice(SECTIONS)
+        nameless = rng.random() < 0.25
+        section = rng.choice(NAMELESS if nameless else SECTIONS)
         place = rng.randint(0, len(out))
-        inside = rng.random() < 0.5 and 0 < place < len(out) and marks[place - 1] == 1
+        inside = not nameless and rng.random() < 0.5 and 0 < place < len(out) and marks[place - 1] == 1
         base = ("html", "body", *(container if inside and not keep else ("article",) if inside else ()))
         for _ in range(rng.randint(1, 6)):
-            n = rng.choice((1, 2, 4, 10, 30, 80))
+            n = rng.choice((1, 2, 4) if nameless else (1, 2, 4, 10, 30, 80))
             at = rng.randrange(max(1, len(words) - n))
             text = " ".join(words[at : at + n]) or "x"
             out.insert(place, (base + section, text, len(text) if section[-1] == "a" else 0))
@@ -293,7 +326,7 @@ def learn(pages: list[str], seed: int = 7) -> Labeller:
         blocks = blocks_of(page)
         labels = [named(p) for p, _, _ in blocks]
         if any(labels):
-            data.append((blocks, [y or 0 for y in labels]))
+            data.append((blocks, [-1 if y is None else y for y in labels]))
     if not data:
         return model
     words = [w for blocks, _ in data for _, text, _ in blocks for w in text.split()[:60]]
