@@ -37,6 +37,9 @@ ORDER, SYMBOLS = 5, 252  # all bytes but six white spaces, the end of a word and
 HEAD_KEYS, HEAD_WORDS = 1_000_000, 60_000
 #: Bytes worked on at once, and distinct keys or words a counting task holds before it passes them on.
 RUN, HELD = 2_000_000, 300_000
+#: Rows of a piece at most, whose number takes so many bits beside a key of 51.
+TEXT_BITS = 8
+ROWS = 1 << TEXT_BITS
 END = b"\n"
 
 _BYTES = (1 << 8 * ORDER) - 1
@@ -96,10 +99,10 @@ def _batch(names: list[str], *columns: pa.Array) -> pa.RecordBatch:
 
 
 def _texts(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
-    """Pieces of at most 256 rows with the words of their texts."""
+    """Pieces of at most ``ROWS`` rows with the words of their texts."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            piece = batch.slice(at, 256)
+        for at in range(0, batch.num_rows, ROWS):
+            piece = batch.slice(at, ROWS)
             yield piece, [words_of(t) for t in piece.column(column).to_pylist()]
 
 
@@ -232,18 +235,23 @@ def _lists(owner: np.ndarray, rows: int, fields: list[tuple[str, pa.Array]]) ->
 
 
 def _key_sums(keys: np.ndarray, owner: np.ndarray, rows: int, known: np.ndarray, prices: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """By text the summed prices of known keys, and lists of the other keys with their counts."""
-    place = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
-    there = known[place] == keys if len(known) else np.zeros(len(keys), bool)
-    sums = np.bincount(owner[there], prices[place[there]] if len(known) else None, rows).astype(float)
-    rest, text = keys[~there], owner[~there]
-    order = np.lexsort((rest, text))
-    rest, text = rest[order], text[order]
-    fresh = np.ones(len(rest), bool)
-    fresh[1:] = (rest[1:] != rest[:-1]) | (text[1:] != text[:-1])
-    at = np.flatnonzero(fresh)
-    times = np.diff(np.append(at, len(rest)))
-    return sums, _lists(text[at], rows, [("key", pa.array(rest[at])), ("k", pa.array(times.astype(np.int64)))])
+    """By text the summed prices of known keys, and lists of the other keys with their counts.
+
+    Keys are sorted together with their text, so each is looked up once a text, and ascending.
+    """
+    pairs = np.sort(keys << TEXT_BITS | owner)
+    at = np.flatnonzero(np.diff(pairs, prepend=-1))
+    times, pairs = np.diff(at, append=len(pairs)), pairs[at]
+    keys, text = pairs >> TEXT_BITS, pairs & ROWS - 1
+    if len(known):
+        place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        there = known[place] == keys
+        sums = np.bincount(text[there], prices[place[there]] * times[there], rows).astype(float)
+    else:
+        there, sums = np.zeros(len(keys), bool), np.zeros(rows)
+    rest = np.flatnonzero(~there)
+    rest = rest[np.argsort(text[rest].astype(np.uint8), kind="stable")]
+    return sums, _lists(text[rest], rows, [("key", pa.array(keys[rest])), ("k", pa.array(times[rest].astype(np.int64)))])
 
 
 def scores(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from pulselake.llm import ppm
@@ -103,3 +104,28 @@ def test_the_order_of_words_counts(spark):
     found = check(spark, [(i, text, "x") for i in rest] + [(held[0], text, "x"), (held[1], mixed, "x")])
     assert found[held[0]]["base_score"] == pytest.approx(found[held[1]]["base_score"])
     assert found[held[0]]["score"] > found[held[1]]["score"] + 10
+
+
+@pytest.mark.parametrize("count", [0, 1, 40])
+def test_keys_are_looked_up_once_a_text(monkeypatch, count):
+    rng = np.random.default_rng(2)
+    every = rng.integers(0, 1 << 51, 80)
+    keys, owner = rng.choice(every, 5_000), rng.integers(0, 256, 5_000)
+    known = np.sort(every[:count])
+    prices, looked = -rng.random(count), []
+    real = np.searchsorted
+
+    def counted(table, wanted):
+        looked.extend(wanted.tolist())
+        return real(table, wanted)
+
+    monkeypatch.setattr(np, "searchsorted", counted)
+    sums, lists = ppm._key_sums(keys, owner, 256, known, prices)
+    monkeypatch.undo()
+    times = Counter(zip(owner.tolist(), keys.tolist()))
+    price = dict(zip(known.tolist(), prices.tolist()))
+    assert len(looked) == (len(times) if count else 0) and looked == sorted(looked)
+    for text, rest in enumerate(lists.to_pylist()):
+        own = {k: n for (t, k), n in times.items() if t == text}
+        assert sums[text] == pytest.approx(sum(price.get(k, 0) * n for k, n in own.items()))
+        assert [(r["key"], r["k"]) for r in rest] == sorted((k, n) for k, n in own.items() if k not in price)
