@@ -45,9 +45,13 @@ LEAST, MARK, POWER = 3, 8.0, 2
 COMMON, MANY = 24, 256
 #: Examples in a span, whose blocks have one largest weight each, and spans of largest bounds visited first.
 SPAN, SEEDS = 128, 2
+#: Lists of fewer postings a span than this have blocks too small to be worth skipping, and are added in full.
+FEW = 4
+#: Groups of alike examples that the spans are cut from, and rounds in which they are found.
+GROUPS, ROUNDS = 12, 6
 #: More than sums of products of unit vectors in single precision can err.
 SLACK = 1e-4
-BATCH = 64
+BATCH = 128
 #: Bytes of a piece of the index on its way to the driver, and the partitions of pieces.
 PIECE, PIECES = 1 << 20, 16
 
@@ -83,18 +87,31 @@ class Lists(Sequence):
         return self.values[self.ends[term] : self.ends[term + 1]]
 
 
-def _runs(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers from each ``first`` to before its ``last``, end to end, and which run each is of."""
+def _runs(first: np.ndarray, last: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers from each ``first`` to before its ``last``, end to end, and the value of the run each is of."""
     size = last - first
-    owner = np.repeat(np.arange(len(size)), size)
-    return np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + first[owner], owner
+    at = np.repeat(first - np.cumsum(size) + size, size)
+    at += np.arange(len(at))
+    return at, np.repeat(value, size)
+
+
+def _alike(weights: np.ndarray) -> np.ndarray:
+    """The group of each example, a column, by spherical k-means from evenly spaced examples."""
+    unit = weights.T / np.maximum(np.linalg.norm(weights, axis=0), 1e-9)[:, None]
+    centres = unit[:: max(1, -(-len(unit) // GROUPS))]
+    group = np.zeros(len(unit), int)
+    for _ in range(ROUNDS if unit.size else 0):
+        group = (unit @ centres.T).argmax(axis=1)
+        sums = np.stack([unit[group == g].sum(axis=0) for g in range(len(centres))])
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=1), 1e-9)[:, None]
+    return group
 
 
 @dataclass
 class Spans:
     """Inverted lists cut into blocks by spans of ``SPAN`` alike examples, with the largest weight of each block.
 
-    Examples are put in the order of their heaviest common term and their number of terms, so that the
+    Examples are put in the order of their group of like ones and their number of terms, so that the
     lists of a term gather in few spans and the weights in a span are alike.
     """
 
@@ -103,7 +120,8 @@ class Spans:
     dense: np.ndarray  # common terms: weight by span, term and place in the span
     peak: np.ndarray  # common terms: largest weight by term and span
     place: np.ndarray  # by term: its row among common terms, or -1
-    ends: np.ndarray  # other terms: their blocks end to end
+    cuts: np.ndarray  # other terms: their postings end to end
+    ends: np.ndarray  # and the blocks of the longer lists
     span: np.ndarray  # by block: its span, largest weight, and postings
     top: np.ndarray
     first: np.ndarray
@@ -120,27 +138,30 @@ class Spans:
         weights = np.zeros((len(common), n), np.float32)
         for row, t in enumerate(common.tolist()):
             weights[row, index.examples[t]] = index.weights[t]
-        heaviest = weights.argmax(axis=0) if len(common) else np.zeros(n, int)
-        order = np.lexsort((np.bincount(index.examples.values, minlength=n), heaviest))
+        order = np.lexsort((np.bincount(index.examples.values, minlength=n), _alike(weights)))
         count = max(1, -(-n // SPAN))
-        position = np.empty(n, np.int64)
+        position = np.empty(n, np.int32)
         position[order] = np.arange(n)
-        dense = np.zeros((count * SPAN, len(common)), np.float32)
-        dense[:n] = weights[:, order].T
-        dense = np.ascontiguousarray(dense.reshape(count, SPAN, -1).transpose(0, 2, 1))
-        # Postings by term and position; a block is a term's run of postings in one span.
-        term = np.repeat(np.arange(len(size)), size)
-        at = position[index.examples.values]
-        sort = np.lexsort((at, term))
-        term, at, w = term[sort], at[sort], index.weights.values[sort]
+        dense = np.zeros((count, len(common), SPAN), np.float32)
+        for at in range(count):
+            own = weights[:, order[at * SPAN : (at + 1) * SPAN]]
+            dense[at, :, : own.shape[1]] = own
+        # Postings of the other terms by term and position; a block is a term's run of postings in one span.
+        term = np.repeat(np.arange(len(size), dtype=np.int32), size)
         rare = place[term] < 0
-        term, at, w = term[rare], at[rare], w[rare]
-        key = term * count + at // SPAN
+        term, at, w = term[rare], position[index.examples.values[rare]], index.weights.values[rare].astype(np.float32)
+        sort = np.lexsort((at, term))
+        at, w = at[sort], w[sort]  # terms are in order already
+        cuts = np.concatenate([[0], np.cumsum(np.where(place < 0, size, 0))])
+        key = term * np.int64(count) + at // SPAN
         first = np.flatnonzero(np.diff(key, prepend=-1))
+        last = np.append(first[1:], len(term))
+        top = np.maximum.reduceat(w, first) if len(first) else w
+        long = size[term[first]] >= FEW * count
+        first, last, top = first[long], last[long], top[long]
         return cls(
-            count, order, dense, np.ascontiguousarray(dense.max(axis=2, initial=0).T), place,
-            np.searchsorted(term[first], np.arange(len(size) + 1)), (at // SPAN)[first],
-            np.maximum.reduceat(w, first) if len(first) else w, first, np.append(first[1:], len(term)), at, w,
+            count, order, dense, np.ascontiguousarray(dense.max(axis=2, initial=0).T), place, cuts,
+            np.searchsorted(term[first], np.arange(len(size) + 1)), at[first] // SPAN, top, first, last, at, w,
         )
 
 
@@ -162,40 +183,45 @@ class Index:
     def neighbours(self, parts: list[tuple[np.ndarray, np.ndarray]], count: int) -> Iterator[list[tuple[float, int]]]:
         """For each vector, as terms and weights, the ``count`` examples of largest positive cosine; ties to the earlier one.
 
-        The bound of a span of examples is the sum over terms of the vector's weight and the span's largest
-        weight of the term. Spans are visited from the largest bound on, until the bounds of the others
-        show that they hold none of the nearest.
+        Short lists are added up first. The bound of a span of examples is its largest sum of these, and the
+        sum over all other terms of the vector's weight and the span's largest weight of the term. Spans are
+        visited from the largest bound on, until the bounds of the others show that they hold none of the nearest.
         """
         if self.spans is None:
             self.spans = Spans.of(self)
         spans = self.spans
         wide = np.zeros((len(parts), len(spans.peak)), np.float32)
-        split = []
+        exact = np.zeros((len(parts), spans.count, SPAN))  # sums over all terms but the common ones
+        split, blocks = [], []
         for i, (terms, w) in enumerate(parts):
             row = spans.place[terms]
-            wide[i, row[row >= 0]] = w[row >= 0]
-            split.append((terms[row < 0], w[row < 0], row[row >= 0], w[row >= 0]))
-        bounds = wide @ spans.peak
-        blocks = []
-        for i, (rare, w, _, _) in enumerate(split):
-            held, owner = _runs(spans.ends[rare], spans.ends[rare + 1])
-            span = spans.span[held]
-            bounds[i] += np.bincount(span, spans.top[held] * w[owner], spans.count)
-            blocks.append((held, owner, span))
-        guess = np.full((len(parts), spans.count, SPAN), -1.0, np.float32)
-        exact = [np.zeros(spans.count * SPAN) for _ in parts]
+            rare, wide[i, row[row >= 0]] = row < 0, w[row >= 0]
+            split.append((row[row >= 0], w[row >= 0]))
+            terms, w = terms[rare], w[rare]
+            long = spans.ends[terms + 1] > spans.ends[terms]
+            short = terms[~long]
+            found, added = _runs(spans.cuts[short], spans.cuts[short + 1], w[~long])
+            added *= spans.weights[found]
+            exact[i] = np.bincount(spans.examples[found], added, exact[i].size).reshape(-1, SPAN)
+            held, w = _runs(spans.ends[terms[long]], spans.ends[terms[long] + 1], w[long])
+            blocks.append((held, w, spans.span[held]))
+        bounds = wide @ spans.peak + exact.max(axis=2)
+        for i, (held, w, span) in enumerate(blocks):
+            if len(held):
+                bounds[i] += np.bincount(span, spans.top[held] * w, spans.count)
+        guess = np.full(exact.shape, -1.0, np.float32)
 
         def visit(todo: np.ndarray) -> None:
             """Add up the cosines with all examples of the spans marked for each vector."""
+            for i, (held, w, span) in enumerate(blocks):
+                inside = todo[i][span]
+                if inside.any():
+                    found, added = _runs(spans.first[held[inside]], spans.last[held[inside]], w[inside])
+                    added *= spans.weights[found]
+                    exact[i] += np.bincount(spans.examples[found], added, exact[i].size).reshape(-1, SPAN)
             for at in np.flatnonzero(todo.any(axis=0)).tolist():
                 who = np.flatnonzero(todo[:, at])
-                guess[who, at] = wide[who] @ spans.dense[at]
-            for i, (held, owner, span) in enumerate(blocks):
-                inside = todo[i][span]
-                found, of = _runs(spans.first[held[inside]], spans.last[held[inside]])
-                added = np.bincount(spans.examples[found], spans.weights[found] * split[i][1][owner[inside]][of], len(exact[i]))
-                exact[i] += added
-                guess[i] += added.reshape(-1, SPAN)
+                guess[who, at] = wide[who] @ spans.dense[at] + exact[who, at]
 
         seeds = np.argpartition(bounds, -min(SEEDS, spans.count), axis=1)[:, -min(SEEDS, spans.count):]
         todo = np.zeros(bounds.shape, bool)
@@ -206,13 +232,13 @@ class Index:
         if reached.shape[1] > count:
             least = np.partition(reached, -count, axis=1)[:, -count] - 2 * SLACK
         visit(~todo & (bounds >= least[:, None]) & (bounds > 0))
-        for i, (_, _, common, w) in enumerate(split):
+        for i, (common, w) in enumerate(split):
             # Sums in single precision only tell which examples can be among the nearest.
             rough = guess[i].ravel()
             found = np.flatnonzero((rough >= least[i]) & (rough > 0))
             if len(found) > count:
                 found = found[rough[found] >= np.partition(rough[found], -count)[-count] - 2 * SLACK]
-            score = exact[i][found]
+            score = exact[i].ravel()[found]
             if len(common):
                 score = score + w @ spans.dense[found[:, None] // SPAN, common, found[:, None] % SPAN].T.astype(float)
             # Sums in another order differ in their last digits, which must not part ties.
@@ -256,15 +282,11 @@ class Index:
 
 def _counted(words: list[str], vocabulary: dict[str, int], starts: frozenset[str]) -> tuple[np.ndarray, np.ndarray]:
     """The terms of the vocabulary among words, ascending, and how often each occurs."""
-    held = Counter(words)
-    terms = np.fromiter(map(vocabulary.get, held, repeat(-1)), np.int64, len(held))
-    counts = np.fromiter(held.values(), np.int64, len(held))
-    begun = [(t, held[w]) for w in held if w[: BEGINNINGS[0]] in starts for b in terms_of(w)[1:] if (t := vocabulary.get(b)) is not None]
+    terms = np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int64, len(words))
+    begun = [t for w in words if w[: BEGINNINGS[0]] in starts for b in terms_of(w)[1:] if (t := vocabulary.get(b)) is not None]
     if begun:
-        terms = np.concatenate([terms, [t for t, _ in begun]])
-        counts = np.concatenate([counts, [n for _, n in begun]])
-    distinct, place = np.unique(terms, return_inverse=True)
-    total = np.bincount(place, counts, len(distinct))
+        terms = np.concatenate([terms, begun])
+    distinct, total = np.unique(terms, return_counts=True)
     return (distinct[1:], total[1:]) if len(distinct) and distinct[0] < 0 else (distinct, total)
 
 

@@ -46,6 +46,28 @@ def test_block_maxima_find_what_full_sums_find(monkeypatch, many, span, seeds):
         assert top == spans.weights[first:last].max() and set(spans.examples[first:last] // span) == {at}
 
 
+@pytest.mark.parametrize("few", [0, 1, 4, 100])
+def test_short_lists_have_no_blocks_and_change_nothing(monkeypatch, few):
+    for name, value in (("MANY", 88), ("COMMON", 10**6), ("SPAN", 16), ("FEW", few), ("BATCH", 7)):
+        monkeypatch.setattr(toxicity, name, value)
+    index = toxicity.learn(pd.DataFrame(examples(), columns=["ident", "text", "label"]))
+    texts = [text for _, text, _ in examples()[::20]] + ["wordaa", "", "wordaa wordaa scum"]
+    found = index.score(texts)
+    spans, size = index.spans, np.diff(index.examples.ends)
+    assert np.array_equal(np.diff(spans.cuts), np.where(spans.place < 0, size, 0))
+    assert np.array_equal(np.diff(spans.ends) > 0, (spans.place < 0) & (size > 0) & (size >= few * spans.count))
+    assert (len(spans.span) > 0) == (few < 100)
+    for at, first, last, top in zip(spans.span, spans.first, spans.last, spans.top):
+        assert top == spans.weights[first:last].max() and set(spans.examples[first:last] // 16) == {at}
+    for text, (score, _) in zip(texts, found, strict=True):
+        terms, counts = toxicity._counted(toxicity.words_of(text), index.vocabulary, index.starts)
+        full = np.zeros(len(index.labels))
+        for t, w in zip(terms.tolist(), index._unit(terms, counts).tolist()):
+            full[index.examples[t]] += w * index.weights[t]
+        near = [e for e in np.argsort(-np.round(full, 12), kind="stable")[:15].tolist() if full[e] > 0]
+        assert score == pytest.approx(index._judge([(full[e], e) for e in near])[0] if len(terms) else index.blank)
+
+
 def test_toxicity_learns_from_all_rows_it_says():
     assert toxicity.SAMPLE_ROWS == 12_000
     assert not hasattr(toxicity, "SHARE")
