@@ -21,7 +21,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 from itertools import repeat
 
 import numpy as np
@@ -173,7 +173,7 @@ class Index:
     idf: np.ndarray
     idents: np.ndarray
     labels: np.ndarray
-    examples: Lists  # by term: numbers of the examples, ascending
+    examples: Lists  # by term: numbers of the examples, ascending; needed to make the spans only
     weights: Lists
     prior: float
     blank: float  # score of a text without terms
@@ -374,19 +374,25 @@ def learn(sample: pd.DataFrame) -> Index:
 
 
 def pack(index: Index) -> bytes:
-    """An index in few bytes; its weights are numbers of single precision already."""
+    """What scoring needs of an index, the spans made ready, in few bytes; each part can be opened by itself."""
+    spans = index.spans or Spans.of(index)
     terms = sorted(index.vocabulary, key=index.vocabulary.__getitem__)
     parts = (
-        "\n".join(terms), index.idf, index.idents, index.labels, index.examples.ends, index.examples.values.astype(np.int32),
-        index.weights.values.astype(np.float32), index.prior, index.blank, index.starts,
+        "\n".join(terms), (index.idf, index.idents, index.labels, index.prior, index.blank, index.starts),
+        *(getattr(spans, f.name) for f in fields(Spans)),
     )
-    return zlib.compress(pickle.dumps(parts), 1)
+    return pickle.dumps([zlib.compress(pickle.dumps(part), 1) for part in parts])
 
 
 def unpack(packed: bytes) -> Index:
-    terms, idf, idents, labels, ends, examples, weights, prior, blank, starts = pickle.loads(zlib.decompress(packed))
+    """The index for scoring: its lists by term are empty, the spans hold them."""
+    parts = pickle.loads(packed)
+    for i, part in enumerate(parts):
+        parts[i] = pickle.loads(zlib.decompress(part))
+    terms, (idf, idents, labels, prior, blank, starts), *held = parts
     vocabulary = {t: i for i, t in enumerate(terms.split("\n") if terms else [])}
-    return Index(vocabulary, idf, idents, labels, Lists(ends, examples), Lists(ends, weights.astype(float)), prior, blank, starts)
+    none = Lists(np.zeros(1, np.int64), np.zeros(0))
+    return Index(vocabulary, idf, idents, labels, none, none, prior, blank, starts, Spans(*held))
 
 
 @dataclass

@@ -79,6 +79,13 @@ def test_packed_indexes_score_alike():
     assert toxicity.unpack(toxicity.pack(index)).score(texts) == index.score(texts)
 
 
+def test_opened_indexes_hold_their_postings_once():
+    index = toxicity.learn(pd.DataFrame(examples(), columns=["ident", "text", "label"]))
+    opened = toxicity.unpack(toxicity.pack(index))
+    assert opened.spans is not None and not len(opened.examples.values) and not len(opened.weights.values)
+    assert (opened.spans.examples.itemsize, opened.spans.weights.itemsize) == (4, 4)
+
+
 def test_features_read_whole_paths_and_blocks():
     inner = "<div class='wrap inner'><div class='row'><div class='col md'><div class='card body'><div class='text'><p>"
     paths = [main_text.blocks_of(f"<body><{t}>{inner}Some words</p></{t}>")[0][0] for t in ("article", "aside")]
